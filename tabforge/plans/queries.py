@@ -741,3 +741,64 @@ def q_error_summary(spark, d):
     s = metrics.error_summary(e, "err")
     return s.select(r6("mean").alias("mean"), r6("variance").alias("variance"),
                     r6("stdev").alias("stdev"), "n")
+
+
+# ----------------------------------------------------------------------------- T1-T4, W2
+
+LAMBDA_GRID = [k / 10 for k in range(-20, 21)]
+
+
+@register("boxcox_mle", """
+WITH x AS (SELECT value + 1 AS x FROM events),
+l AS (SELECT unnest(range(-20, 21)) / 10.0 AS lam),
+a AS (SELECT lam, (lam - 1) * SUM(ln(x)) - COUNT(*) / 2.0 * ln(VAR_POP(
+        CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END)) AS llf
+      FROM x, l GROUP BY lam)
+SELECT ROUND(lam, 2) AS lambda, ROUND(llf, 4) AS llf FROM a""")
+def q_boxcox_mle(spark, d):
+    from tabforge.operators.transform import llf_grid
+    g = llf_grid(t(spark, d, "events", ["value"]), "value", LAMBDA_GRID, shift=1.0)
+    return g.select(F.round("lambda", 2).alias("lambda"), r4("llf").alias("llf"))
+
+
+@register("boxcox_normal_scores")
+def q_boxcox_normal_scores(spark, d):
+    from tabforge.operators.transform import fit_lambdas
+    fit = fit_lambdas(t(spark, d, "events", ["value"]), ["value"], method="pearsonr", shift=1.0)
+    return spark.createDataFrame([(c, round(lam, 4), round(fit.scores[c], 6))
+                                  for c, lam in fit.lambdas.items()],
+                                 "feature string, lambda double, r double")
+
+
+@register("skew_fix")
+def q_skew_fix(spark, d):
+    from tabforge.operators.transform import fit_skew_fix
+    oa = order_aggs(spark, d)
+    model = fit_skew_fix(oa, AGG_COLS, threshold=0.5)
+    out = model.transform(oa)
+    return out.select("l_orderkey", *[r6(c).alias(c) for c in AGG_COLS])
+
+
+# ----------------------------------------------------------------------------- M1, J5, O3
+
+@register("knn_impute", f"""
+WITH p AS (SELECT p_partkey, p_type, CAST(p_size AS DOUBLE) AS f1, CAST(length(p_name) AS DOUBLE) AS f2,
+                  CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END AS price FROM part),
+pairs AS (SELECT q.p_partkey AS qk, d.p_partkey AS dk, d.price AS v,
+                 ((q.f1 - d.f1) * (q.f1 - d.f1) + (q.f2 - d.f2) * (q.f2 - d.f2)) / 2.0 AS dist
+          FROM p q JOIN p d ON q.p_type = d.p_type AND d.price IS NOT NULL
+          WHERE q.price IS NULL),
+top AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY qk ORDER BY dist, dk) AS rn
+                       FROM pairs) WHERE rn <= 10),
+fill AS (SELECT qk, CASE WHEN MIN(dist) = 0 THEN AVG(v) FILTER (WHERE dist = 0)
+                         ELSE SUM(v / dist) / SUM(1.0 / dist) END AS val
+         FROM top GROUP BY qk)
+SELECT p.p_partkey, p.p_type, ROUND(COALESCE(p.price, f.val), 6) AS p_retailprice
+FROM p LEFT JOIN fill f ON p.p_partkey = f.qk""")
+def q_knn_impute(spark, d):
+    from tabforge.operators.knn import knn_impute
+    p = part_n(spark, d).select("p_partkey", "p_type", F.col("p_size").cast("double").alias("f1"),
+                                F.length("p_name").cast("double").alias("f2"), "p_retailprice")
+    out = knn_impute(p, "p_partkey", ["f1", "f2", "p_retailprice"], targets=["p_retailprice"],
+                     k=10, block="p_type", donor_buckets=4)
+    return out.select("p_partkey", "p_type", r6("p_retailprice").alias("p_retailprice"))
