@@ -802,3 +802,130 @@ def q_knn_impute(spark, d):
     out = knn_impute(p, "p_partkey", ["f1", "f2", "p_retailprice"], targets=["p_retailprice"],
                      k=10, block="p_type", donor_buckets=4)
     return out.select("p_partkey", "p_type", r6("p_retailprice").alias("p_retailprice"))
+
+
+# ----------------------------------------------------------------------------- R1-R12, K3
+
+@register("ridge_fit", f"""
+WITH {ORDER_AGGS},
+m AS (SELECT AVG(n_lines) AS m1, AVG(sum_qty) AS m2, AVG(sum_price) AS my FROM order_aggs),
+s AS (SELECT SUM((n_lines - m1) * (n_lines - m1)) + 7 AS a,
+             SUM((n_lines - m1) * (sum_qty - m2)) AS b,
+             SUM((sum_qty - m2) * (sum_qty - m2)) + 7 AS d,
+             SUM((n_lines - m1) * (sum_price - my)) AS c1,
+             SUM((sum_qty - m2) * (sum_price - my)) AS c2,
+             ANY_VALUE(m1) AS m1, ANY_VALUE(m2) AS m2, ANY_VALUE(my) AS my
+      FROM order_aggs, m),
+w AS (SELECT (d * c1 - b * c2) / (a * d - b * b) AS w1, (a * c2 - b * c1) / (a * d - b * b) AS w2,
+             m1, m2, my FROM s)
+SELECT 'intercept' AS term, ROUND(my - w1 * m1 - w2 * m2, 4) AS coef FROM w
+UNION ALL SELECT 'n_lines', ROUND(w1, 4) FROM w
+UNION ALL SELECT 'sum_qty', ROUND(w2, 4) FROM w""")
+def q_ridge_fit(spark, d):
+    from tabforge.models.linear import fit_ridge
+    m = fit_ridge(order_aggs(spark, d), ["n_lines", "sum_qty"], "sum_price", alpha=7.0)
+    return _coef_frame(spark, m)
+
+
+def _coef_frame(spark, m, extra: dict | None = None) -> DataFrame:
+    rows = [("intercept", round(float(m.intercept), 4))]
+    rows += [(c, round(float(w), 4)) for c, w in zip(m.features, m.coef)]
+    rows += [(k, round(float(v), 6)) for k, v in (extra or {}).items()]
+    return spark.createDataFrame(rows, "term string, coef double")
+
+
+def _model_train(spark, d):
+    from tabforge.operators.frame import split
+    from tabforge.plans.pipeline import engineer
+    f, feats = engineer(spark, d)
+    f = f.checkpoint(eager=True)
+    train, test = split(f)
+    return train.withColumn("label_log", F.log1p("label")), test, feats
+
+
+def _scaled_cv_stats(train, feats, n_folds=20):
+    from tabforge.models.gram import FoldStats, gram_stats
+    from tabforge.operators.folds import kfold
+    from tabforge.operators.scale import fit_robust_scaler
+    rows = kfold(train, "o_orderkey", n_folds, output="_cv")
+    sc = fit_robust_scaler(rows, feats)
+    fs = gram_stats(rows, feats, "label_log", "_cv")
+    return FoldStats({k: s.scaled(sc.center, sc.scale) for k, s in fs.folds.items()}), sc
+
+
+@register("lasso_cv")
+def q_lasso_cv(spark, d):
+    from tabforge.models import linear as lin
+    from tabforge.models.ensemble import LASSO_ALPHAS
+    train, _, feats = _model_train(spark, d)
+    fs, sc = _scaled_cv_stats(train, feats)
+    a, _, _ = lin.enet_cv(fs, LASSO_ALPHAS, (1.0,))
+    m = lin.unscale(lin.LinearModel(feats, *lin.solve_enet(fs.total(), a, 1.0)), sc.center, sc.scale)
+    return _coef_frame(spark, m, {"alpha": a})
+
+
+@register("enet_cv")
+def q_enet_cv(spark, d):
+    from tabforge.models import linear as lin
+    from tabforge.models.ensemble import ENET_ALPHAS, ENET_L1_RATIOS
+    train, _, feats = _model_train(spark, d)
+    fs, sc = _scaled_cv_stats(train, feats)
+    a, r, _ = lin.enet_cv(fs, ENET_ALPHAS, ENET_L1_RATIOS)
+    m = lin.unscale(lin.LinearModel(feats, *lin.solve_enet(fs.total(), a, r)), sc.center, sc.scale)
+    return _coef_frame(spark, m, {"alpha": a, "l1_ratio": r})
+
+
+@register("ridge_cv")
+def q_ridge_cv(spark, d):
+    from tabforge.models import linear as lin
+    from tabforge.models.ensemble import RIDGE_ALPHAS
+    train, _, feats = _model_train(spark, d)
+    fs, sc = _scaled_cv_stats(train, feats)
+    a, _ = lin.ridge_cv(fs, RIDGE_ALPHAS)
+    m = lin.unscale(lin.LinearModel(feats, *lin.solve_ridge(fs.total(), a)), sc.center, sc.scale)
+    return _coef_frame(spark, m, {"alpha": a})
+
+
+@register("bayes_ridge")
+def q_bayes_ridge(spark, d):
+    from tabforge.models import linear as lin
+    train, _, feats = _model_train(spark, d)
+    fs, sc = _scaled_cv_stats(train, feats, n_folds=1)
+    w, b, a, lam = lin.solve_bayes_ridge(fs.total())
+    m = lin.unscale(lin.LinearModel(feats, w, b), sc.center, sc.scale)
+    return _coef_frame(spark, m, {"alpha_": a, "lambda_": lam})
+
+
+@register("gbt")
+def q_gbt(spark, d):
+    from tabforge.models.boost import fit_gbt
+    train, test, feats = _model_train(spark, d)
+    m = fit_gbt(train, feats, "label_log", n_trees=20)
+    return m.transform(test, "pred_log").select("o_orderkey", r6("pred_log").alias("pred_log"))
+
+
+@register("stacking")
+def q_stacking(spark, d):
+    from tabforge.models.ensemble import EnsembleConfig, fit_stack
+    train, test, feats = _model_train(spark, d)
+    m = fit_stack(train, "o_orderkey", feats, "label_log",
+                  EnsembleConfig(stack_folds=5, gbt_trees=10))
+    return m.transform(test, "pred_stack").select("o_orderkey", r6("pred_stack").alias("pred_stack"))
+
+
+@register("fit_predict")
+def q_fit_predict(spark, d):
+    from tabforge.models.ensemble import EnsembleConfig
+    from tabforge.plans.pipeline import fit_predict
+    return fit_predict(spark, d, EnsembleConfig(cv_folds=20, stack_folds=5, gbt_trees=20))
+
+
+@register("repeated_holdout")
+def q_repeated_holdout(spark, d):
+    from tabforge.models.ensemble import EnsembleConfig
+    from tabforge.models.evaluate import repeated_holdout
+    train, _, feats = _model_train(spark, d)
+    _, summary = repeated_holdout(train, "o_orderkey", feats, "label", repeats=2,
+                                  cfg=EnsembleConfig(cv_folds=5, stack_folds=3, gbt_trees=5))
+    return summary.select(r6("mean").alias("mean"), r6("variance").alias("variance"),
+                          r6("stdev").alias("stdev"), "n")
