@@ -929,3 +929,45 @@ def q_repeated_holdout(spark, d):
                                   cfg=EnsembleConfig(cv_folds=5, stack_folds=3, gbt_trees=5))
     return summary.select(r6("mean").alias("mean"), r6("variance").alias("variance"),
                           r6("stdev").alias("stdev"), "n")
+
+
+_PRIO_CASE = ("CASE prio WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4 WHEN '3-MEDIUM' THEN 3 "
+              "WHEN '4-NOT SPECIFIED' THEN 2 WHEN '5-LOW' THEN 1 END")
+
+
+@register("engineered", f"""
+WITH agg AS (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines, SUM(l_quantity) AS sum_qty,
+                    AVG(l_discount) AS avg_disc, SUM(l_extendedprice) AS sum_price
+             FROM lineitem GROUP BY l_orderkey),
+b AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_orderdate, c.c_mktsegment, a.n_lines, a.sum_qty,
+             a.avg_disc,
+             CASE WHEN o.o_custkey % 7 = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal,
+             CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE o.o_orderpriority END AS o_orderpriority,
+             CASE WHEN o.o_orderdate < TIMESTAMP '2000-01-01' THEN a.sum_price END AS label,
+             CASE WHEN o.o_orderdate < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS _split
+      FROM orders o JOIN agg a ON o.o_orderkey = a.o_orderkey
+      LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+med AS (SELECT c_mktsegment, quantile_cont(c_acctbal, 0.5) AS m FROM b GROUP BY c_mktsegment),
+pm AS (SELECT o_orderpriority AS v FROM b WHERE o_orderpriority IS NOT NULL
+       GROUP BY 1 ORDER BY COUNT(*) DESC, v LIMIT 1),
+f AS (SELECT b.*, COALESCE(b.c_acctbal, med.m) AS acct,
+             COALESCE(b.o_orderpriority, (SELECT v FROM pm)) AS prio,
+             CAST(year(o_orderdate) AS DOUBLE) AS y
+      FROM b LEFT JOIN med ON b.c_mktsegment = med.c_mktsegment),
+s AS (SELECT MIN(y) AS ylo, MAX(y) AS yhi FROM f)
+SELECT o_orderkey, _split, ROUND(label, 6) AS label, n_lines,
+  ROUND(COALESCE(CAST(n_lines AS DOUBLE), 0) + COALESCE(sum_qty, 0), 6) AS units,
+  ROUND(avg_disc, 6) AS avg_disc, ROUND(acct, 6) AS c_acctbal,
+  {_PRIO_CASE} AS prio_int,
+  CAST(COALESCE(prio = '1-URGENT', FALSE) AS INTEGER) AS is_urgent,
+  CAST(COALESCE(n_lines - 4 > 0, FALSE) AS INTEGER) AS big_order,
+  ROUND(sum_qty / n_lines, 6) AS qty_per_line,
+  CAST(month(o_orderdate) AS INTEGER) AS order_month,
+  {_ew_sql('y', 'ylo', 'yhi', 7)} AS year_bin,
+  {", ".join(_dummy_sql("o_orderstatus", ["F", "O", "P"]) + _dummy_sql("c_mktsegment", SEGMENTS))}
+FROM f, s""")
+def q_engineered(spark, d):
+    from tabforge.plans.pipeline import engineer
+    f, feats = engineer(spark, d)
+    dbl = {"label", "units", "avg_disc", "c_acctbal", "qty_per_line"}
+    return f.select(*[r6(c).alias(c) if c in dbl else qcol(c) for c in f.columns])
