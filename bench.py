@@ -36,7 +36,8 @@ def run(fn, spark, sf_dir) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", app="tabforge-bench", shuffle_partitions=cpus)
+    spark = get_spark(f"local[{cpus}]", app="tabforge-bench", shuffle_partitions=cpus,
+                      driver_memory="16g")
     from tabforge.plans.queries import QUERIES
     names = [n for n in HEADLINE if n in QUERIES]
     run(QUERIES["value_counts"], spark, sf_dir)  # JVM and file-listing warm-up

@@ -16,7 +16,8 @@ Spark plan (exact, no candidate cap):
   donors are hashed into ``donor_buckets`` buckets and every query is
   replicated to all buckets, so a hot block is split over many tasks and each
   query still meets every donor exactly once;
-* distances are array expressions (``zip_with`` / ``aggregate``), JVM-side;
+* distances are per-feature column arithmetic (generated code) for narrow
+  matrices and array expressions for wide ones;
 * top-k runs twice: per ``(query, target, bucket)`` and then over the
   ``buckets * k`` survivors, so no window holds a whole block;
 * the weighted means are pivoted back to columns (``#targets`` values) and
@@ -35,6 +36,9 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
 
+# Above this many features the distance is computed on arrays instead of columns.
+WIDE_FEATURES = 32
+
 
 def knn_impute(df: DataFrame, key: str, features: Sequence[str],
                targets: Sequence[str] | None = None, k: int = 10,
@@ -46,29 +50,44 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
     blocks = [block] if isinstance(block, str) else list(block or [])
     nb = max(1, int(donor_buckets))
 
-    xarr = F.array(*[qcol(f).cast("double") for f in feats])
-    base = df.select(qcol(key).alias("_key"), *[qcol(b).alias(f"_b{i}") for i, b in enumerate(blocks)],
-                     xarr.alias("_x"))
+    d = len(feats)
     bcols = [f"_b{i}" for i in range(len(blocks))]
+    wide = d > WIDE_FEATURES
+    base = df.select(qcol(key).alias("_key"), *[qcol(b).alias(f"_b{i}") for i, b in enumerate(blocks)],
+                     *[qcol(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)])
+    if wide:
+        base = base.select("_key", *bcols, F.array(*[F.col(f"_x{i}") for i in range(d)]).alias("_xa"))
+        xval = [F.col("_xa")[i] for i in range(d)]
+        qcols, dcols = ["_xa"], ["_da"]
+        donor_x = [F.col("_xa").alias("_da")]
+    else:
+        xval = [F.col(f"_x{i}") for i in range(d)]
+        qcols, dcols = [f"_x{i}" for i in range(d)], [f"_d{i}" for i in range(d)]
+        donor_x = [F.col(x).alias(dc) for x, dc in zip(qcols, dcols)]
 
-    missing = F.filter(F.array(*[F.when(F.col("_x")[i].isNull(), F.lit(j))
-                                 for j, i in enumerate(tidx)]), lambda v: v.isNotNull())
-    queries = (base.select("_key", *bcols, "_x", F.explode(missing).alias("_t"))
+    missing = F.filter(F.array(*[F.when(xval[i].isNull(), F.lit(j)) for j, i in enumerate(tidx)]),
+                       lambda v: v.isNotNull())
+    queries = (base.select("_key", *bcols, *qcols, F.explode(missing).alias("_t"))
                .select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_bucket")))
-
-    observed = F.filter(F.array(*[F.when(F.col("_x")[i].isNotNull(),
-                                         F.struct(F.lit(j).alias("t"), F.col("_x")[i].alias("v")))
+    observed = F.filter(F.array(*[F.when(xval[i].isNotNull(),
+                                         F.struct(F.lit(j).alias("t"), xval[i].alias("v")))
                                   for j, i in enumerate(tidx)]), lambda s: s.isNotNull())
-    donors = (base.select(F.col("_key").alias("_dkey"), *bcols, F.col("_x").alias("_dx"),
+    donors = (base.select(F.col("_key").alias("_dkey"), *bcols, *donor_x,
                           F.explode(observed).alias("_tv"))
-              .select("_dkey", *bcols, "_dx", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_v"),
+              .select("_dkey", *bcols, *dcols, F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_v"),
                       F.pmod(F.xxhash64("_dkey"), F.lit(nb)).cast("int").alias("_bucket")))
 
     pairs = queries.join(donors, on=bcols + ["_t", "_bucket"], how="inner")
-    sq = F.zip_with("_x", "_dx", lambda a, b: (a - b) * (a - b))
-    pairs = pairs.select("_key", "_t", "_bucket", "_dkey", "_v", sq.alias("_sq"))
-    n_obs = F.size(F.filter("_sq", lambda v: v.isNotNull()))
-    total = F.aggregate("_sq", F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
+    if wide:
+        # many features: one array expression keeps the plan and generated code small
+        sq_arr = F.zip_with("_xa", "_da", lambda a, b: (a - b) * (a - b))
+        total = F.aggregate(sq_arr, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
+        n_obs = F.size(F.filter(sq_arr, lambda v: v.isNotNull()))
+    else:
+        # few features: plain per-feature arithmetic, compiled by whole-stage codegen
+        sq = [(F.col(x) - F.col(dc)) * (F.col(x) - F.col(dc)) for x, dc in zip(qcols, dcols)]
+        total = sum((F.coalesce(e, F.lit(0.0)) for e in sq[1:]), F.coalesce(sq[0], F.lit(0.0)))
+        n_obs = sum((e.isNotNull().cast("int") for e in sq[1:]), sq[0].isNotNull().cast("int"))
     pairs = (pairs.select("_key", "_t", "_bucket", "_dkey", "_v",
                           F.when(n_obs > 0, total / n_obs).alias("_d"))
              .where(F.col("_d").isNotNull()))

@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "tabforge",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     """Local or cluster session with the settings every operator assumes.
 
     AQE stays on: it coalesces small shuffle partitions, converts joins whose
@@ -25,6 +26,8 @@ def get_spark(master: str | None = None, app: str = "tabforge",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     cpus = os.cpu_count() or 8
     builder = (
         builder

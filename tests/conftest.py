@@ -14,6 +14,7 @@ def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[*]").appName("tabforge-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "8g")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
