@@ -904,6 +904,14 @@ def q_gbt(spark, d):
     return m.transform(test, "pred_log").select("o_orderkey", r6("pred_log").alias("pred_log"))
 
 
+@register("gbt_huber")
+def q_gbt_huber(spark, d):
+    from tabforge.models.boost import fit_gbt
+    train, test, feats = _model_train(spark, d)
+    m = fit_gbt(train, feats, "label_log", n_trees=8, learning_rate=0.1, loss="huber")
+    return m.transform(test, "pred_log").select("o_orderkey", r6("pred_log").alias("pred_log"))
+
+
 @register("stacking")
 def q_stacking(spark, d):
     from tabforge.models.ensemble import EnsembleConfig, fit_stack
