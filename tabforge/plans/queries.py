@@ -95,7 +95,8 @@ def r4(c) -> Column:
 
 
 TRAIN_CUT = "2000-01-01"
-IS_TRAIN = F.col("o_orderdate") < F.lit(TRAIN_CUT).cast("timestamp")
+def is_train() -> Column:
+    return F.col("o_orderdate") < F.lit(TRAIN_CUT).cast("timestamp")
 
 
 # ----------------------------------------------------------------------------- S1, S2
@@ -166,9 +167,9 @@ def q_drop_keys(spark, d):
 def _tagged_orders(spark, d) -> DataFrame:
     o = t(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                "o_orderdate"])
-    train = o.where(IS_TRAIN).select("o_orderkey", "o_custkey", "o_orderstatus",
+    train = o.where(is_train()).select("o_orderkey", "o_custkey", "o_orderstatus",
                                      F.col("o_totalprice").alias("label"))
-    test = o.where(~IS_TRAIN).select("o_orderkey", "o_custkey", "o_orderstatus")
+    test = o.where(~is_train()).select("o_orderkey", "o_custkey", "o_orderstatus")
     return frame.union_tagged(train, test)
 
 
@@ -442,7 +443,7 @@ def q_drop_unshared_levels(spark, d):
     o = t(spark, d, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
     o = o.select("o_orderkey", "o_orderstatus", "o_orderpriority",
                  F.year("o_orderdate").alias("o_year"),
-                 F.when(IS_TRAIN, "train").otherwise("test").alias("_split"))
+                 F.when(is_train(), "train").otherwise("test").alias("_split"))
     cols = ["o_orderstatus", "o_orderpriority", "o_year"]
     model = encode.fit_one_hot(o, cols)
     return encode.drop_unshared_levels(model.transform(o), model)
@@ -650,7 +651,27 @@ def q_correlated_pairs(spark, d):
     return c.select("a", "b", r6("r").alias("r"))
 
 
-@register("drop_correlated")
+def _drop_correlated_sql(cols: list[str], t: float = 0.75) -> str:
+    """Greedy walk in column order: a column is dropped when a partner that is still
+    kept (earlier and not dropped, or later) has r > t."""
+    parts = [f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM order_aggs"
+             for a, b in _pairs(cols)]
+    steps = []
+    for i, c in enumerate(cols):
+        later = [f"'{x}'" for x in cols[i + 1:]]
+        kept_earlier = [f"(p = '{x}' AND NOT d{j}.x)" for j, x in enumerate(cols[:i])]
+        conds = ([f"p IN ({', '.join(later)})"] if later else []) + kept_earlier
+        cond = " OR ".join(conds) if conds else "FALSE"
+        src = ", ".join(["pr"] + [f"d{j}" for j in range(i)])
+        steps.append(f"d{i} AS (SELECT COALESCE(BOOL_OR(r > {t} AND ({cond})), FALSE) AS x "
+                     f"FROM {src} WHERE q = '{c}')")
+    sel = " UNION ALL ".join(f"SELECT '{c}' AS feature FROM d{i} WHERE x" for i, c in enumerate(cols))
+    return (f"WITH {ORDER_AGGS}, c AS ({' UNION ALL '.join(parts)}), "
+            "pr AS (SELECT a AS q, b AS p, r FROM c UNION ALL SELECT b AS q, a AS p, r FROM c), "
+            + ", ".join(steps) + " " + sel)
+
+
+@register("drop_correlated", _drop_correlated_sql(AGG_COLS))
 def q_drop_correlated(spark, d):
     removed = stats.drop_correlated(order_aggs(spark, d), AGG_COLS, 0.75)
     return spark.createDataFrame([(c,) for c in removed], "feature string")

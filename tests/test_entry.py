@@ -32,3 +32,14 @@ def test_oracles_small(spark):
     for name in ("indicators", "merge_levels", "fill_group_median", "quantiles", "robust_scale",
                  "knn_impute", "equal_width_bins", "one_hot", "ridge_fit", "engineered"):
         _compare(spark, name)
+
+
+def test_oracle_sql_needs_no_session():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; print(len(e.oracle_sql()), len(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True,
+                         timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
