@@ -10,7 +10,8 @@ to one task.  Both break when one group holds a third of the rows.  Here:
 3. a window per *(partition, group)* gives running counts inside a partition
    (each window group is at most one range partition);
 4. per-(partition, group) totals, at most ``#groups + #partitions`` rows,
-   give each partition's offset inside its group;
+   give each partition's offset inside its group (the range-partitioned table is
+   checkpointed first, so both uses read identical partitions);
 5. every distinct value then knows ``before`` (rows of its group with a
    smaller value) and ``n`` (rows of the group).
 
@@ -51,8 +52,12 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     counts = (df.select(*[qcol(b) for b in by], qcol(value))
               .where(qcol(value).isNotNull())
               .groupBy(*[qcol(b) for b in by], qcol(value)).agg(F.count(F.lit(1)).alias(_CNT)))
+    # Both branches below (running counts, per-partition totals) must see the same
+    # range partitioning; range bounds come from sampling, so a recomputed exchange
+    # could pick other bounds.  The distinct-value table is materialised once.
     ranged = (counts.repartitionByRange(_partitions(df), *[qcol(b) for b in by], qcol(value))
-              .withColumn(_PID, F.spark_partition_id()))
+              .withColumn(_PID, F.spark_partition_id())
+              .checkpoint(eager=True))
     w_local = (Window.partitionBy(F.col(_PID), *[qcol(b) for b in by]).orderBy(qcol(value))
                .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumn("_lb", F.coalesce(F.sum(_CNT).over(w_local), F.lit(0)))

@@ -194,6 +194,13 @@ class SkewFixModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: boxcox1p(c, lam) for c, lam in self.lambdas.items()})
 
+    def report(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """``(feature, skew_before, skew_after, lambda)`` for ``columns`` (one job)."""
+        after = {r["feature"]: r["skew"] for r in skew_report(self.transform(df), columns).collect()}
+        rows = [(c, self.skew_before.get(c), after.get(c), self.lambdas.get(c)) for c in columns]
+        return df.sparkSession.createDataFrame(
+            rows, "feature string, skew_before double, skew_after double, lambda double")
+
 
 def fit_skew_fix(df: DataFrame, columns: Sequence[str], threshold: float = 0.5,
                  method: str = "pearsonr") -> SkewFixModel:

@@ -51,3 +51,6 @@ def test_skew_fix_selects_positive_skew_only(spark):
     assert list(m.lambdas) == ["skewed"]
     after = m.transform(df).agg(F.skewness("skewed")).first()[0]
     assert abs(after) < abs(m.skew_before["skewed"])
+
+    rep = {r.feature: r for r in m.report(df, ["skewed", "sym"]).collect()}
+    assert rep["sym"]["lambda"] is None and abs(rep["skewed"].skew_after) < rep["skewed"].skew_before
