@@ -10,34 +10,61 @@ them; no donor leaves the cell NULL.
 
 Spark plan (exact, no candidate cap):
 
-* only rows with a NULL are queries; each query row is exploded once per
-  missing target, each donor row once per observed target;
-* queries meet donors through an equi-join on ``(block, target, bucket)``:
-  donors are hashed into ``donor_buckets`` buckets and every query is
-  replicated to all buckets, so a hot block is split over many tasks and each
-  query still meets every donor exactly once;
-* distances are per-feature column arithmetic (generated code) for narrow
-  matrices and array expressions for wide ones;
-* top-k runs twice: per ``(query, target, bucket)`` and then over the
-  ``buckets * k`` survivors, so no window holds a whole block;
-* the weighted means are pivoted back to columns (``#targets`` values) and
-  merged into the rows with one keyed join.
-
-The pair count is ``queries x donors`` per block, as exact KNN requires; the
-block key is what keeps it tractable.
+* **profiles, not rows.**  A query's answer depends only on its block, target
+  and feature vector (its *profile*), so queries are grouped by profile and
+  answered once.  Donors with the same block, target and feature vector
+  (target masked) are at the same distance from every query, so each donor
+  profile keeps only its ``k`` smallest-key donors (a bounded array, chosen by
+  a two-level top-k so a hot profile is split across tasks).  Pairs are
+  ``distinct query profiles x distinct donor profiles`` per block, never
+  ``rows x rows``; repeated or discrete data shrinks them by orders of magnitude;
+* query profiles meet donor profiles through an equi-join on
+  ``(block, target, bucket)``: donor profiles are hashed into ``donor_buckets``
+  buckets and query profiles replicated to all of them, so a hot block is
+  spread over many tasks while each pair is still formed exactly once;
+* distances are element arithmetic on the profile arrays (generated code) for
+  narrow matrices and array expressions for wide ones;
+* top-k runs per ``(query profile, bucket)`` and again over the
+  ``buckets * k`` survivors; answers go back to the rows by a join on the
+  profile, and to columns by a pivot over the ``#targets`` values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
 
-# Above this many features the distance is computed on arrays instead of columns.
+# Above this many features the distance is computed with array functions.
 WIDE_FEATURES = 32
+# Buckets used to split one hot donor profile before keeping its k smallest keys.
+PROFILE_SALT = 16
+
+
+def _distance(d: int) -> tuple[Column, Column]:
+    """(sum of squared differences over co-observed features, their count)."""
+    if d > WIDE_FEATURES:
+        sq = F.zip_with("_qp", "_dp", lambda a, b: (a - b) * (a - b))
+        total = F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
+        return total, F.size(F.filter(sq, lambda v: v.isNotNull()))
+    sq = [(F.col("_qp")[i] - F.col("_dp")[i]) * (F.col("_qp")[i] - F.col("_dp")[i]) for i in range(d)]
+    total = sum((F.coalesce(e, F.lit(0.0)) for e in sq[1:]), F.coalesce(sq[0], F.lit(0.0)))
+    count = sum((e.isNotNull().cast("int") for e in sq[1:]), sq[0].isNotNull().cast("int"))
+    return total, count
+
+
+def _top_k(df: DataFrame, part: list[str], order: list[Column], k: int, salt: Column | None,
+           nb: int) -> DataFrame:
+    """Rows with the k smallest ``order`` per ``part``; with a salt, first per
+    ``(part, salt)`` and then over the at most ``nb * k`` survivors."""
+    if salt is not None and nb > 1:
+        w1 = Window.partitionBy(*part, salt).orderBy(*order)
+        df = df.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1")
+    w2 = Window.partitionBy(*part).orderBy(*order)
+    return df.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k).drop("_r2")
 
 
 def knn_impute(df: DataFrame, key: str, features: Sequence[str],
@@ -49,63 +76,55 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
     tidx = [feats.index(t) for t in targets]
     blocks = [block] if isinstance(block, str) else list(block or [])
     nb = max(1, int(donor_buckets))
-
     d = len(feats)
     bcols = [f"_b{i}" for i in range(len(blocks))]
-    wide = d > WIDE_FEATURES
-    base = df.select(qcol(key).alias("_key"), *[qcol(b).alias(f"_b{i}") for i, b in enumerate(blocks)],
-                     *[qcol(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)])
-    if wide:
-        base = base.select("_key", *bcols, F.array(*[F.col(f"_x{i}") for i in range(d)]).alias("_xa"))
-        xval = [F.col("_xa")[i] for i in range(d)]
-        qcols, dcols = ["_xa"], ["_da"]
-        donor_x = [F.col("_xa").alias("_da")]
-    else:
-        xval = [F.col(f"_x{i}") for i in range(d)]
-        qcols, dcols = [f"_x{i}" for i in range(d)], [f"_d{i}" for i in range(d)]
-        donor_x = [F.col(x).alias(dc) for x, dc in zip(qcols, dcols)]
-
-    missing = F.filter(F.array(*[F.when(xval[i].isNull(), F.lit(j)) for j, i in enumerate(tidx)]),
+
+    base = df.select(qcol(key).alias("_key"),
+                     *[qcol(b).alias(f"_b{i}") for i, b in enumerate(blocks)],
+                     F.array(*[qcol(f).cast("double") for f in feats]).alias("_x"))
+    x = F.col("_x")
+
+    # query rows, one per missing target; their profile is the whole vector
+    missing = F.filter(F.array(*[F.when(x[i].isNull(), F.lit(j)) for j, i in enumerate(tidx)]),
                        lambda v: v.isNotNull())
-    queries = (base.select("_key", *bcols, *qcols, F.explode(missing).alias("_t"))
-               .select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_bucket")))
-    observed = F.filter(F.array(*[F.when(xval[i].isNotNull(),
-                                         F.struct(F.lit(j).alias("t"), xval[i].alias("v")))
-                                  for j, i in enumerate(tidx)]), lambda s: s.isNotNull())
-    donors = (base.select(F.col("_key").alias("_dkey"), *bcols, *donor_x,
-                          F.explode(observed).alias("_tv"))
-              .select("_dkey", *bcols, *dcols, F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_v"),
-                      F.pmod(F.xxhash64("_dkey"), F.lit(nb)).cast("int").alias("_bucket")))
-
-    pairs = queries.join(donors, on=bcols + ["_t", "_bucket"], how="inner")
-    if wide:
-        # many features: one array expression keeps the plan and generated code small
-        sq_arr = F.zip_with("_xa", "_da", lambda a, b: (a - b) * (a - b))
-        total = F.aggregate(sq_arr, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
-        n_obs = F.size(F.filter(sq_arr, lambda v: v.isNotNull()))
-    else:
-        # few features: plain per-feature arithmetic, compiled by whole-stage codegen
-        sq = [(F.col(x) - F.col(dc)) * (F.col(x) - F.col(dc)) for x, dc in zip(qcols, dcols)]
-        total = sum((F.coalesce(e, F.lit(0.0)) for e in sq[1:]), F.coalesce(sq[0], F.lit(0.0)))
-        n_obs = sum((e.isNotNull().cast("int") for e in sq[1:]), sq[0].isNotNull().cast("int"))
-    pairs = (pairs.select("_key", "_t", "_bucket", "_dkey", "_v",
+    qrows = base.select("_key", *bcols, F.explode(missing).alias("_t"), x.alias("_qp"))
+    qprof = (qrows.select(*bcols, "_t", "_qp").distinct()
+             .select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_bucket")))
+
+    # donor rows, one per observed target; profile = vector with the target masked
+    observed = F.filter(F.array(*[
+        F.when(x[i].isNotNull(), F.struct(F.lit(j).alias("t"), x[i].alias("v"),
+                                          F.array(*[F.lit(None).cast("double") if m == i else x[m]
+                                                    for m in range(d)]).alias("p")))
+        for j, i in enumerate(tidx)]), lambda s: s.isNotNull())
+    drows = (base.select("_key", *bcols, F.explode(observed).alias("_o"))
+             .select(F.col("_key").alias("_dkey"), *bcols, F.col("_o.t").alias("_t"),
+                     F.col("_o.v").alias("_v"), F.col("_o.p").alias("_dp")))
+    # keep the k smallest keys of every donor profile (bounded, split when hot)
+    dsalt = F.pmod(F.xxhash64("_dkey"), F.lit(PROFILE_SALT))
+    dtop = _top_k(drows, bcols + ["_t", "_dp"], [F.col("_dkey")], k, dsalt, PROFILE_SALT)
+    dprof = (dtop.groupBy(*bcols, "_t", "_dp")
+             .agg(F.collect_list(F.struct("_dkey", "_v")).alias("_donors"))
+             .withColumn("_bucket", F.pmod(F.xxhash64("_dp"), F.lit(nb)).cast("int")))
+
+    pairs = qprof.join(dprof, on=bcols + ["_t", "_bucket"], how="inner")
+    total, n_obs = _distance(d)
+    pairs = (pairs.select(*bcols, "_t", "_qp", "_bucket", "_donors",
                           F.when(n_obs > 0, total / n_obs).alias("_d"))
-             .where(F.col("_d").isNotNull()))
-
-    order = [F.col("_d"), F.col("_dkey")]
-    w1 = Window.partitionBy("_key", "_t", "_bucket").orderBy(*order)
-    local = pairs.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    if nb > 1:
-        w2 = Window.partitionBy("_key", "_t").orderBy(*order)
-        top = local.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k)
-    else:
-        top = local
+             .where(F.col("_d").isNotNull())
+             .select(*bcols, "_t", "_qp", "_bucket", "_d", F.explode("_donors").alias("_dv"))
+             .select(*bcols, "_t", "_qp", "_bucket", "_d", F.col("_dv._dkey").alias("_dkey"),
+                     F.col("_dv._v").alias("_v")))
+    top = _top_k(pairs, bcols + ["_t", "_qp"], [F.col("_d"), F.col("_dkey")], k,
+                 F.col("_bucket"), nb)
     zero = F.col("_d") == 0
-    filled = top.groupBy("_key", "_t").agg(
+    answers = top.groupBy(*bcols, "_t", "_qp").agg(
         F.when(F.max(zero.cast("int")) == 1, F.avg(F.when(zero, F.col("_v"))))
         .otherwise(F.sum(F.when(~zero, F.col("_v") / F.col("_d")))
                    / F.sum(F.when(~zero, F.lit(1.0) / F.col("_d"))))
         .alias("_fill"))
+
+    filled = qrows.join(answers, on=bcols + ["_t", "_qp"], how="inner").select("_key", "_t", "_fill")
     wide = filled.groupBy("_key").pivot("_t", list(range(len(targets)))).agg(F.first("_fill"))
     wide = wide.select(F.col("_key").alias("__knn_key"),
                        *[F.col(str(j)).alias(f"__knn_{j}") for j in range(len(targets))])
