@@ -8,6 +8,7 @@ labels; the repeats are summarised by mean, population variance and std.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,17 +21,24 @@ from tabforge.operators.metrics import error_summary, rmsle
 
 def repeated_holdout(train: DataFrame, key: str, features: Sequence[str], label: str,
                      repeats: int = 50, test_size: float = 0.5,
-                     cfg: EnsembleConfig | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(per-repeat errors, summary)``; ``label`` is the raw (unlogged) label."""
+                     cfg: EnsembleConfig | None = None,
+                     parallelism: int = 2) -> tuple[DataFrame, DataFrame]:
+    """``(per-repeat errors, summary)``; ``label`` is the raw (unlogged) label.
+
+    Repeats are independent, so ``parallelism`` of them are submitted at once.
+    """
     spark = train.sparkSession
-    errors = []
-    for r in range(repeats):
+
+    def one(r: int) -> tuple[int, float]:
         tagged = holdout(train, key, test_size, seed=r + 1)
         dev = tagged.where(F.col("is_holdout") == 0).withColumn("_ylog", F.log1p(qcol(label)))
         val = tagged.where(F.col("is_holdout") == 1)
         model = fit_ensemble(dev, key, features, "_ylog", cfg)
         pred = predict_blend(model, val, key, "_pred")
         scored = pred.join(val.select(qcol(key), qcol(label)), key)
-        errors.append((r, float(rmsle(scored, label, "_pred").first()["rmsle"])))
+        return r, float(rmsle(scored, label, "_pred").first()["rmsle"])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        errors = sorted(pool.map(one, range(repeats)))
     per = spark.createDataFrame(errors, "repeat int, rmsle double")
     return per, error_summary(per, "rmsle")

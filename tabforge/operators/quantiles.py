@@ -82,15 +82,22 @@ def _rank_value(ranks: DataFrame, value: str, rank: F.Column) -> F.Column:
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, approx: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group (or globally).
 
     Returns ``by...`` plus one double column per probability, named by
     ``names`` (default ``q_<index>``).  Groups whose values are all NULL are
-    absent from the result.
+    absent from the result.  ``approx=<accuracy>`` opts into
+    ``percentile_approx`` (a bounded sketch per group, rank error about
+    ``n / accuracy``, no interpolation) when exact values are not needed.
     """
     by = list(by)
     names = list(names) if names else [f"q_{i}" for i in range(len(probs))]
+    if approx:
+        q = F.percentile_approx(qcol(value).cast("double"), [float(p) for p in probs], int(approx))
+        per = df.groupBy(*[qcol(b) for b in by]).agg(q.alias("_q"))
+        return per.select(*[qcol(b) for b in by],
+                          *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     ranks = value_ranks(df, value, by)
     n1 = (F.col(_N) - 1).cast("double")
     aggs = []

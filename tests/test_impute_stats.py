@@ -86,3 +86,9 @@ def test_null_report_profile_level_diff(spark):
     assert [r.level for r in stats.level_diff(df, other, "s").collect()] == [None]
     assert abs(stats.geo_mean(spark.createDataFrame([(1.0,), (100.0,)], "v double"), "v")
                .first()[0] - 10.0) < 1e-12
+
+
+def test_approximate_quantiles_opt_in(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
+    q = quantiles(df, "v", [0.5, 0.9], approx=10000).first()
+    assert abs(q.q_0 - 500) <= 1 and abs(q.q_1 - 900) <= 1
