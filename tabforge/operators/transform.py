@@ -149,12 +149,15 @@ def _grid_pass(table: DataFrame, cand: dict[str, np.ndarray], consts, method) ->
     feats = list(cand)
     g = len(next(iter(cand.values())))
     spark = table.sparkSession
+    def bc(x: float, lam: float) -> float:
+        return float(np.log(x)) if abs(lam) < 1e-12 else float((x ** lam - 1.0) / lam)
+    # the centring term is per candidate, not per row: computed here once
     cands = spark.createDataFrame(
-        [(f, k, float(cand[f][k]), float(consts[f]["xbar"])) for f in feats for k in range(g)],
-        "feature string, k int, lam double, xbar double")
+        [(f, k, float(cand[f][k]), bc(float(consts[f]["xbar"]), float(cand[f][k])))
+         for f in feats for k in range(g)],
+        "feature string, k int, lam double, ybar double")
     rows_x = table.join(F.broadcast(cands), "feature")
-    lam = F.col("lam")
-    y = boxcox_col(F.col("x"), lam) - boxcox_col(F.col("xbar"), lam)
+    y = boxcox_col(F.col("x"), F.col("lam")) - F.col("ybar")
     w = F.col("_cnt").cast("double")
     sums = (rows_x.select("feature", "k", (w * y).alias("wy"), (w * y * y).alias("wyy"),
                           (F.col("z") * y).alias("zy"))
