@@ -37,8 +37,12 @@ def get_spark(master: str | None = None, app: str = "tabforge",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
+    # Local runs: one shuffle partition per core.  On a cluster the configured value
+    # stays (size it so a partition holds ~128-256 MB of shuffle data; AQE coalesces
+    # the small ones and splits skewed ones).
+    if shuffle_partitions or (master or "").startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
