@@ -174,11 +174,14 @@ def derive_features(df: DataFrame, fit_on: DataFrame | None = None,
 
 def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
              patches: Sequence[tuple] = (), median_patches: Sequence[tuple] = (),
-             fit_on: str = "all", overfit_dummies: Sequence[str] | None = None,
+             fit_on: str = "all", overfit_dummies: Sequence[str] | str | None = None,
              knn_k: int = 10, skew_threshold: float = 0.5) -> HouseResult:
-    """Whole feature pipeline; ``overfit_dummies=None`` uses the reference's list,
-    ``[]`` keeps every dummy, and ``"auto"`` semantics live in
-    ``encode.drop_unshared_levels``."""
+    """Whole feature pipeline.
+
+    ``overfit_dummies=None`` drops the reference's ten dummies (each must exist),
+    a list drops those, ``[]`` keeps every dummy, and ``"auto"`` drops the
+    dummies of every level seen in only one split (``encode.drop_unshared_levels``).
+    """
     plan = column_plan()
     raw_columns = [c for c in train.columns if c not in (KEY, LABEL)]
     both = frame.union_tagged(clean_train(train, drop_ids), test)
@@ -197,8 +200,11 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
     df = mode.transform(df)
     onehot = encode.fit_one_hot(df, p.one_hot)
     df = onehot.transform(df)
-    drops = OVERFIT_DUMMIES if overfit_dummies is None else list(overfit_dummies)
-    df = encode.drop_unshared_levels(df, onehot, names=[c for c in drops if c in df.columns])
+    if overfit_dummies == "auto":
+        df = encode.drop_unshared_levels(df, onehot)
+    else:
+        drops = OVERFIT_DUMMIES if overfit_dummies is None else list(overfit_dummies)
+        df = encode.drop_unshared_levels(df, onehot, names=drops)
     features = [c for c in df.columns if c not in (KEY, LABEL, "_split")]
 
     # KNN over the matrix without the two totals, then once more with them: the
