@@ -89,6 +89,19 @@ class FoldStats:
     def train(self, fold: int) -> Stats:
         return self.total() - self.folds[fold]
 
+    def marginal(self, to_fold) -> "FoldStats":
+        """Merge fine-grained folds into coarser ones (``to_fold(fine_id) -> coarse_id``)."""
+        out: dict[int, Stats] = {}
+        for k, s in self.folds.items():
+            c = int(to_fold(k))
+            out[c] = out[c] + s if c in out else s
+        return FoldStats(out)
+
+
+def layout_size(d: int) -> int:
+    """Doubles in one statistics vector for ``d`` features."""
+    return _layout(d)
+
 
 def _layout(d: int) -> int:
     return 1 + d + 1 + d * d + d + 1

@@ -64,3 +64,14 @@ def test_cv_selects_from_grid(spark):
     assert best in (0.1, 1.0) and len(scores) == 3
     a, r, s = lin.enet_cv(fs, [0.001, 0.01, 10.0], [0.5, 1.0])
     assert a in (0.001, 0.01) and s.shape == (2, 3)
+
+
+def test_pair_stats_marginals_equal_separate_passes(spark):
+    df, _, _ = _frame(spark)
+    from pyspark.sql import functions as F
+    pair = gram_stats(df.withColumn("p", F.col("fold") * 3 + F.col("id") % 3), ["a", "b", "c"], "y", "p")
+    by_fold = pair.marginal(lambda p: p // 3)
+    direct = gram_stats(df, ["a", "b", "c"], "y", "fold")
+    for k in direct.folds:
+        assert np.allclose(by_fold.folds[k].sxx, direct.folds[k].sxx)
+        assert by_fold.folds[k].n == direct.folds[k].n
