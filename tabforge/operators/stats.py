@@ -54,13 +54,18 @@ def skew_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.orderBy(F.col("skew").desc_nulls_last(), F.col("feature"))
 
 
-def corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def corr_long(df: DataFrame, columns: Sequence[str], complete_rows: bool = False) -> DataFrame:
     """``(a, b, r)`` for every pair ``a < b`` (by position): pairwise-complete Pearson r.
 
-    All ``d(d-1)/2`` correlations are aggregate expressions of one job.
+    All ``d(d-1)/2`` correlations are aggregate expressions of one job.  With
+    ``complete_rows=True`` (rows with a NULL in any listed column are skipped,
+    which equals pairwise-complete on imputed data) the matrix comes from one
+    ``XᵀX`` pass instead, which scales to hundreds of columns.
     """
     require_columns(df, columns)
     cols = list(columns)
+    if complete_rows:
+        return _corr_from_gram(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
@@ -72,9 +77,25 @@ def corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for k, (i, j) in enumerate(pairs)])).alias("kv")).select("kv.a", "kv.b", "kv.r")
 
 
-def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.75) -> DataFrame:
+def _corr_from_gram(df: DataFrame, cols: list[str]) -> DataFrame:
+    import numpy as np
+    from tabforge.models.gram import gram_stats
+    s = gram_stats(df, cols, cols[0]).total()
+    g, _, _ = s.centered()
+    sd = np.sqrt(np.clip(np.diag(g), 0.0, None))
+    rows = []
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            den = sd[i] * sd[j]
+            r = float(g[i, j] / den) if den > 0 else None
+            rows.append((min(cols[i], cols[j]), max(cols[i], cols[j]), r))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.75,
+                     complete_rows: bool = False) -> DataFrame:
     """Pairs with ``|r| > threshold``, each pair once (names sorted), by ``|r|`` descending."""
-    return (corr_long(df, columns)
+    return (corr_long(df, columns, complete_rows)
             .where(F.abs(F.col("r")) > F.lit(threshold))
             .orderBy(F.abs(F.col("r")).desc(), "a", "b"))
 

@@ -90,6 +90,8 @@ class HouseResult:
     plan: ColumnPlan
     features: list[str]
     skew_lambdas: dict[str, float]
+    correlated: DataFrame     # feature pairs with |r| > 0.75 on the final matrix
+    nulls: DataFrame          # remaining NULLs per feature (empty after imputation)
 
 
 def column_plan() -> ColumnPlan:
@@ -219,5 +221,7 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
     numeric = [c for c in p.numeric if c in df.columns] + ["TotalArea", "Total_Bathrooms"]
     skew = fit_skew_fix(df, numeric, threshold=skew_threshold)
     df = skew.transform(df)
-    return HouseResult(df.select(*[qcol(c) for c in (KEY, "_split", LABEL, *features)]), p,
-                       features, skew.lambdas)
+    out = df.select(*[qcol(c) for c in (KEY, "_split", LABEL, *features)]).checkpoint(eager=True)
+    # the reference's closing reports: correlated pairs (one XᵀX pass) and missing values
+    correlated = stats.correlated_pairs(out, features, 0.75, complete_rows=True)
+    return HouseResult(out, p, features, skew.lambdas, correlated, stats.null_report(out, features))

@@ -22,3 +22,6 @@ def test_house_pipeline(spark):
                         for i, c in enumerate(res.features)]).first()
     assert sum(nulls) == 0
     assert "LotArea" in res.skew_lambdas
+    assert res.nulls.count() == 0
+    pairs = res.correlated.collect()
+    assert all(abs(r.r) > 0.75 and r.a < r.b for r in pairs)

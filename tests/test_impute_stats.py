@@ -92,3 +92,13 @@ def test_approximate_quantiles_opt_in(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
     q = quantiles(df, "v", [0.5, 0.9], approx=10000).first()
     assert abs(q.q_0 - 500) <= 1 and abs(q.q_1 - 900) <= 1
+
+
+def test_corr_from_gram_equals_pairwise_on_complete_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4))
+    x[:, 1] += 2 * x[:, 0]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double, d double")
+    a = {(r.a, r.b): r.r for r in stats.corr_long(df, ["a", "b", "c", "d"]).collect()}
+    b = {(r.a, r.b): r.r for r in stats.corr_long(df, ["a", "b", "c", "d"], complete_rows=True).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
