@@ -109,6 +109,34 @@ class OneHotModel:
         return df.select(*keep, *dummies)
 
 
+    def to_vector(self, df: DataFrame, output: str = "onehot", drop_source: bool = True) -> DataFrame:
+        """The same encoding as one sparse vector column (for wide vocabularies).
+
+        Uses the fitted levels (no new pass): a literal map gives each sorted
+        level its index and NULL / unseen values one extra index, declared as
+        nominal metadata; ``OneHotEncoder`` drops that extra slot, so every real
+        level keeps a slot and NULL encodes as all zeros, as in the dense form.
+        Slot order follows ``output_columns()``.
+        """
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+        cols = list(self.levels)
+        tmp_i = [f"_oh_i{i}" for i in range(len(cols))]
+        tmp_v = [f"_oh_v{i}" for i in range(len(cols))]
+        idx = {}
+        for c, t in zip(cols, tmp_i):
+            lvs = self.levels[c]
+            lookup = F.create_map(*[x for i, lv in enumerate(lvs) for x in (F.lit(lv), F.lit(float(i)))])
+            code = F.coalesce(F.try_element_at(lookup, qcol(c).cast("string")), F.lit(float(len(lvs))))
+            meta = {"ml_attr": {"type": "nominal", "num_vals": len(lvs) + 1, "name": t}}
+            idx[t] = code.alias(t, metadata=meta)
+        indexed = df.select("*", *idx.values())
+        # the extra last category (NULL / unseen) is dropped: it encodes as all zeros
+        encoder = OneHotEncoder(inputCols=tmp_i, outputCols=tmp_v, dropLast=True).fit(indexed.limit(0))
+        out = VectorAssembler(inputCols=tmp_v, outputCol=output).transform(encoder.transform(indexed))
+        out = out.drop(*tmp_i, *tmp_v)
+        return out.drop(*cols) if drop_source else out
+
+
 def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> OneHotModel:
     """Distinct levels of every column in one job (values read as strings).
 

@@ -52,3 +52,13 @@ def test_drop_unshared_levels(spark):
     out = encode.drop_unshared_levels(m.transform(df), m)
     assert [c for c in out.columns if c.startswith("c_")] == ["c_a"]
     assert encode.unshared_levels(df, ["c"]).count() == 2
+
+
+def test_one_hot_sparse_vector_equals_dense(spark):
+    df = spark.createDataFrame([(1, "b", 3), (2, "a", None), (3, None, 3), (4, "c", 1)],
+                               "id int, s string, n int")
+    m = encode.fit_one_hot(df, ["s", "n"])
+    dense = {r[0]: list(r[1:]) for r in m.transform(df).orderBy("id").collect()}
+    vec = {r.id: list(r.onehot.toArray()) for r in m.to_vector(df).collect()}
+    assert len(vec[1]) == len(m.output_columns())
+    assert all(vec[i] == [float(x) for x in dense[i]] for i in dense)
