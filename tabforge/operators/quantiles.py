@@ -43,15 +43,19 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     return reduce(lambda a, b: a & b, conds)
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
+                weight: str | None = None) -> DataFrame:
     """Distinct ``(by..., value)`` with ``_cnt``, ``_before`` and group size ``_n``.
 
     NULL values are ignored (they have no rank); NULL group keys form a group.
+    ``weight`` names an integer multiplicity column (rows already counted);
+    rows with weight 0 are ignored.
     """
     by = list(by)
-    counts = (df.select(*[qcol(b) for b in by], qcol(value))
-              .where(qcol(value).isNotNull())
-              .groupBy(*[qcol(b) for b in by], qcol(value)).agg(F.count(F.lit(1)).alias(_CNT)))
+    mult = F.lit(1) if weight is None else qcol(weight).cast("long")
+    counts = (df.select(*[qcol(b) for b in by], qcol(value), mult.alias("_w"))
+              .where(qcol(value).isNotNull() & (F.col("_w") > 0))
+              .groupBy(*[qcol(b) for b in by], qcol(value)).agg(F.sum("_w").alias(_CNT)))
     # Both branches below (running counts, per-partition totals) must see the same
     # range partitioning; range bounds come from sampling, so a recomputed exchange
     # could pick other bounds.  The distinct-value table is materialised once.
@@ -82,7 +86,8 @@ def _rank_value(ranks: DataFrame, value: str, rank: F.Column) -> F.Column:
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, approx: int | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, approx: int | None = None,
+              weight: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group (or globally).
 
     Returns ``by...`` plus one double column per probability, named by
@@ -98,7 +103,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         per = df.groupBy(*[qcol(b) for b in by]).agg(q.alias("_q"))
         return per.select(*[qcol(b) for b in by],
                           *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    ranks = value_ranks(df, value, by)
+    ranks = value_ranks(df, value, by, weight)
     n1 = (F.col(_N) - 1).cast("double")
     aggs = []
     for i, p in enumerate(probs):
