@@ -25,7 +25,7 @@ HEADLINE = [
     "boxcox_mle", "skew_fix", "knn_impute", "adjust_tails", "blend", "ridge_fit", "engineered",
     "fit_predict",
 ]
-FAST = 15.0
+FAST = 30.0
 
 
 def run(fn, spark, sf_dir) -> float:
