@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
+from tabforge.session import checkpoint
 
 _CNT, _BEFORE, _N, _PID = "_cnt", "_before", "_n", "_pid"
 
@@ -59,9 +60,8 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
     # Both branches below (running counts, per-partition totals) must see the same
     # range partitioning; range bounds come from sampling, so a recomputed exchange
     # could pick other bounds.  The distinct-value table is materialised once.
-    ranged = (counts.repartitionByRange(_partitions(df), *[qcol(b) for b in by], qcol(value))
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = checkpoint(counts.repartitionByRange(_partitions(df), *[qcol(b) for b in by], qcol(value))
+                        .withColumn(_PID, F.spark_partition_id()))
     w_local = (Window.partitionBy(F.col(_PID), *[qcol(b) for b in by]).orderBy(qcol(value))
                .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumn("_lb", F.coalesce(F.sum(_CNT).over(w_local), F.lit(0)))

@@ -32,6 +32,7 @@ from tabforge.functions.numeric import boxcox1p
 from tabforge.functions.nullsafe import qcol
 from tabforge.operators.quantiles import unpivot, value_ranks
 from tabforge.operators.stats import skew_report
+from tabforge.session import checkpoint
 
 RANK_CHUNK = 100_000
 
@@ -116,7 +117,7 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
     else:
         raise ValueError(f"unknown method {method!r}")
     # one row per distinct value; cut the lineage before the λ passes
-    table = table.checkpoint(eager=True)
+    table = checkpoint(table)
     # per-column constants, λ-independent: Σz, Σz², Σ cnt·log x, n, a centring point
     consts = {r["feature"]: r for r in table.groupBy("feature").agg(
         F.sum("z").alias("sz"), F.sum("zz").alias("szz"), F.max("_n").alias("n"),

@@ -29,6 +29,7 @@ from tabforge.operators.knn import knn_impute
 from tabforge.operators.quantiles import quantiles
 from tabforge.operators.transform import fit_skew_fix
 from tabforge.plans.column_plan import ColumnPlan
+from tabforge.session import checkpoint
 
 KEY, LABEL = "Id", "SalePrice"
 
@@ -211,17 +212,17 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
 
     # KNN over the matrix without the two totals, then once more with them: the
     # second pass fills the bathroom total, which propagated NULLs
-    df = df.checkpoint(eager=True)
+    df = checkpoint(df)
     first = [c for c in features if c not in ("TotalArea", "Total_Bathrooms")]
     for cols in (first, features):
         nulls = [r.feature for r in stats.null_report(df, cols).collect()]
         if nulls:
-            df = knn_impute(df, KEY, cols, targets=nulls, k=knn_k).checkpoint(eager=True)
+            df = checkpoint(knn_impute(df, KEY, cols, targets=nulls, k=knn_k))
 
     numeric = [c for c in p.numeric if c in df.columns] + ["TotalArea", "Total_Bathrooms"]
     skew = fit_skew_fix(df, numeric, threshold=skew_threshold)
     df = skew.transform(df)
-    out = df.select(*[qcol(c) for c in (KEY, "_split", LABEL, *features)]).checkpoint(eager=True)
+    out = checkpoint(df.select(*[qcol(c) for c in (KEY, "_split", LABEL, *features)]))
     # the reference's closing reports: correlated pairs (one XᵀX pass) and missing values
     correlated = stats.correlated_pairs(out, features, 0.75, complete_rows=True)
     return HouseResult(out, p, features, skew.lambdas, correlated, stats.null_report(out, features))

@@ -19,6 +19,7 @@ from tabforge.operators import (clean, derive, encode, folds, frame, impute, met
                                 quantiles as qs, scale, stats)
 from tabforge.plans.column_plan import ColumnPlan
 from tabforge.sources.tables import read_csv, read_table, write_csv
+from tabforge.session import checkpoint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -859,7 +860,7 @@ def _model_train(spark, d):
     from tabforge.operators.frame import split
     from tabforge.plans.pipeline import engineer
     f, feats = engineer(spark, d)
-    f = f.checkpoint(eager=True)
+    f = checkpoint(f)
     train, test = split(f)
     return train.withColumn("label_log", F.log1p("label")), test, feats
 

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "tabforge",
@@ -55,13 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (sc.getConf().get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.checkpoint.dir", None))
     if not configured:
         configured = tempfile.mkdtemp(prefix="tabforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the session's checkpoint folder (cuts lineage;
+    survives executor loss).  The folder is the cluster's ``spark.checkpoint.dir``;
+    a local one is created only when none is configured."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
