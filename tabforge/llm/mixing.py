@@ -9,7 +9,7 @@ from tabforge.llm.common import n_words
 from tabforge.session import checkpoint
 
 HASH_BITS = 60
-LEVEL_BITS = 15
+LEVEL_BITS = 12
 
 
 def mix_hash(id_col: Column) -> Column:
@@ -59,9 +59,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     rest takes every document ``k`` times and once more those whose hash is below the source's
     threshold.
 
-    Thresholds: words are summed by source and the leading 15 bits of the hash; running sums (at
-    most 2^15 rows a source) give the bucket in which the budget ends, and only that bucket's
-    documents are summed by the next 15 bits, down to one hash value, which is taken if the sum
+    Thresholds: words are summed by source and the leading 12 bits of the hash; running sums (at
+    most 2^12 rows a source) give the bucket in which the budget ends, and only that bucket's
+    documents are summed by the next 12 bits, down to one hash value, which is taken if the sum
     gets nearer to the target with it.  No document is sorted, a larger budget's choice holds a
     smaller one's, and reruns agree since the hash is the id's.  Histograms combine before the
     shuffle, so a source with a third of the rows is a few thousand partial sums.
