@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -10,6 +11,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 CRLF = "\r\n"
 END = b"\r\n\r\n"
@@ -18,6 +20,7 @@ RECORD = ("status string, file string, offset long, length long, reason string,
           "record_id string, refers_to string, target_uri string, payload_digest string, "
           "payload_bytes long, payload binary")
 GZIP = b"\x1f\x8b\x08"
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 #: Decompressed bytes that one gzip member may have.
 MAX_MEMBER = 1 << 28
@@ -75,15 +78,29 @@ def warc_records(pages: DataFrame, min_revisit: int = 1000, id_col: str = "page_
             .select("_id", F.concat(head.cast("binary"), F.col("_block")).alias("record")))
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = 2000, **kwargs) -> None:
-    """Write ``pages`` as plain WARC files below ``path``, any folder that Spark can write.
+def _members_udf():
+    @arrow_udf("binary")
+    def members(record: pa.Array) -> pa.Array:
+        """Each record, with its closing blank lines, as a gzip member of its own."""
+        return pa.array([gzip.compress(r.as_py() + END, 6, mtime=0) for r in record], pa.binary())
 
-    The text writer puts each record's bytes and then the blank lines that end it, so files are
-    complete archives, and Spark's commit protocol keeps those of lost or repeated tasks out.
-    ``records_per_file`` bounds what a reader holds at once.
+    return members
+
+
+def write_warc(pages: DataFrame, path: str, compress: bool = True, records_per_file: int = 4000,
+               **kwargs) -> None:
+    """Write ``pages`` as WARC files below ``path``, any folder that Spark can write.
+
+    Spark's text writer puts a row's bytes and then a separator, and its commit protocol keeps the
+    files of lost or repeated tasks out.  With ``compress`` a row is a record's gzip member and the
+    separator an empty member, which readers of gzip pass over; without, the row is the record and
+    the separator the blank lines that end it.  ``records_per_file`` bounds what a reader holds.
     """
-    (warc_records(pages, **kwargs).select(F.col("record").cast("string"))
-     .write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", records_per_file).text(path))
+    records = warc_records(pages, **kwargs)
+    value = (_members_udf()(F.col("record")) if compress else F.col("record")).cast("string")
+    separator = EMPTY_MEMBER.decode("latin-1") if compress else CRLF * 2
+    (records.select(value).write.option("lineSep", separator).option("encoding", "ISO-8859-1")
+     .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 # --------------------------------------------------------------------------------- reading
@@ -130,25 +147,31 @@ def _parse(data: bytes, pos: int):
 
 
 def _parse_member(data: bytes, pos: int):
-    """As :func:`_parse`, for a gzip member that holds one record."""
-    inflate = zlib.decompressobj(wbits=31)
-    try:
-        plain = inflate.decompress(memoryview(data)[pos:], MAX_MEMBER)
-    except zlib.error as e:
-        return f"bad gzip member: {e}"
+    """As :func:`_parse`, for a gzip member that holds one record; ``(end,)`` if it is empty."""
+    inflate, plain, at, size = zlib.decompressobj(wbits=31), [], pos, 0
+    while not inflate.eof and at < len(data) and size <= MAX_MEMBER:
+        try:
+            plain.append(inflate.decompress(data[at:at + 65536]))
+        except zlib.error as e:
+            return f"bad gzip member: {e}"
+        size += len(plain[-1])
+        at += 65536
     if not inflate.eof:
         return "gzip member is cut short or too large"
-    found = _parse(plain, 0)
+    end = min(at, len(data)) - len(inflate.unused_data)
+    if not size:
+        return (end,)
+    found = _parse(b"".join(plain), 0)
     if isinstance(found, str):
         return found
-    if found[0] != len(plain):
+    if found[0] != size:
         return "gzip member does not end with its record"
-    return len(data) - len(inflate.unused_data), *found[1:]
+    return end, *found[1:]
 
 
 def salvage(data: bytes):
     """Yield ``("record", offset, length, headers, block, body)`` and ``("gap", offset, length,
-    reason)`` that together cover every byte.  After a failed check the search goes on, from the
+    reason)`` that together, and with empty gzip members, cover every byte.  After a failed check the search goes on, from the
     next byte, for a version line or a gzip member, and the bytes up to the next record that
     passes all checks are one quarantined gap."""
     pos, lost, why = 0, None, ""
@@ -158,7 +181,8 @@ def salvage(data: bytes):
             if lost is not None:
                 yield "gap", lost, pos - lost, why
                 lost = None
-            yield "record", pos, found[0] - pos, *found[1:]
+            if len(found) > 1:
+                yield "record", pos, found[0] - pos, *found[1:]
             pos = found[0]
             continue
         if lost is None:
