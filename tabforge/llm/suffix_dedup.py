@@ -38,6 +38,7 @@ SLICE = 1 << 20
 #: Symbols that are sorted side by side.
 SORT_AT_ONCE = 1 << 20
 RUN, SPAN, WINDOW, HOT, FETCH, APART = range(6)
+FIRST = -1
 _NULL_ID, _NULL_SEQ = (1 << 63) - 1, 1 << 30
 
 DEALT = ("bucket int, kind int, h array<int>, a array<long>, b array<long>, doc array<long>, "
@@ -139,6 +140,8 @@ def _cut_task(length: int, buckets: int):
             yield from _table(HOT, h[edge][many > MAX_RUNS] % buckets,
                               {"h": _short(h[edge][many > MAX_RUNS], buckets)})
             if hot.any():
+                yield from _table(SPAN, ids[doc[hot]] % buckets, {
+                    "doc": ids[doc[hot]], "seq": seqs[doc[hot]], "start": start[hot], "n": n[hot]})
                 a, b, of, at = _hash_windows(texts, doc[hot], start[hot], n[hot], length)
                 owner = doc[hot][of]
                 yield from _table(WINDOW, (a & 0xFFFFFFFF) % buckets, {
@@ -343,7 +346,8 @@ def _written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc, seq, start, n)``: n windows from ``start`` on that also start earlier."""
+    """``(doc, seq, start, n)``: n windows from ``start`` on that also start earlier, but for those
+    windows that come once more with n = FIRST."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select("_doc", "_seq", "_text")
@@ -358,12 +362,11 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     sorted_ = _written(found.mapInArrow(_fetch_task(length), FETCHED).repartition(parts, "a")
                        .mapInArrow(_sort_task(length), FLAT), spark, "repeats")
     both = settled.union(sorted_)
-    windows = both.where(F.col("kind") == WINDOW).select("a", "b", "doc", "seq", "start")
-    first = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "seq", "start")).alias("f"))
-    place = ["a", "b", "doc", "seq", "start"]
-    again = windows.join(first.select("a", "b", "f.*"), place, "left_anti")
-    return (both.where(F.col("kind") == SPAN).select("doc", "seq", "start", "n")
-            .union(again.select("doc", "seq", "start", F.lit(1).alias("n"))))
+    # Runs that were taken apart count as repeats but for the windows that are first somewhere.
+    first = (both.where(F.col("kind") == WINDOW).groupBy("a", "b")
+             .agg(F.min(F.struct("doc", "seq", "start")).alias("f")).select("f.*"))
+    return (both.where(F.col("kind").isin(SPAN, APART)).select("doc", "seq", "start", "n")
+            .union(first.select("doc", "seq", "start", F.lit(FIRST).alias("n"))))
 
 
 def _remove_udf(length: int):
@@ -373,12 +376,17 @@ def _remove_udf(length: int):
         for raw, here in zip(text_bytes(text), spans, strict=True):
             pieces, upto, runs, lost = [], 0, 0, 0
             if here.is_valid:
-                start, n = (here.values.field(c).to_numpy() for c in ("start", "n"))
+                start, n = (here.values.field(c).to_numpy().astype(np.int64) for c in ("start", "n"))
+                if (n == FIRST).any():
+                    own, start, n = start[n == FIRST], start[n != FIRST], n[n != FIRST]
+                    start = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    start = start[~np.isin(start, own)]
+                    n = np.ones(len(start), np.int64)
                 order = np.argsort(start)
-                end = np.maximum.accumulate((start + n)[order].astype(np.int64) + length - 1)
+                end = np.maximum.accumulate((start + n)[order] + length - 1)
                 start = start[order]
-                opens = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
-                closes = end[np.append(opens[1:] - 1, len(end) - 1)]
+                opens = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]])[:len(start)])
+                closes = end[np.append(opens[1:] - 1, len(end) - 1)[:len(opens)]]
                 for a, b in zip(start[opens].tolist(), closes.tolist(), strict=True):
                     pieces.append(raw[upto:a])
                     upto, runs, lost = b, runs + 1, lost + b - a
