@@ -14,6 +14,8 @@ from tabforge.session import checkpoint
 
 #: Rows of one block of vectors or queries; the unit that is scored at once.
 BLOCK = 4096
+#: Rows a partition is meant to hold.
+PART_ROWS = 3200
 
 
 @dataclass
@@ -191,7 +193,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, parts: int | None =
            sample_rows: int = 8192, target_recall: float = 0.97, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` rows of largest inner product found for each
-    row whose id is divisible by ``every``, ties to the smaller id.
+    row whose id is divisible by ``every``, ties to the smaller id.  ``parts`` follows the number
+    of rows (PART_ROWS each, 16 to 256) unless given.
 
     Index: the neighbour graph of at most ``sample_rows`` rows (those of least id hash) is cut
     into ``parts`` balanced partitions, a classifier learns to name a vector's partitions, and
@@ -211,7 +214,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, parts: int | None =
              .orderBy(F.desc("n"), "d").first())
     dims, total = (shape["d"], shape["n"]) if shape else (1, 0)
     rows = rows.where(F.size("vector") == dims)
-    parts = parts or max(4, min(64, total // 800))
+    parts = parts or max(16, min(256, total // PART_ROWS))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vector").collect()
     router = fit_router(np.array([r[0] for r in sample], np.float64).reshape(-1, dims), parts, k,
                         target_recall)

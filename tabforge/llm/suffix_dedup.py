@@ -38,7 +38,9 @@ SLICE = 1 << 20
 #: Symbols that are sorted side by side.
 SORT_AT_ONCE = 1 << 20
 RUN, SPAN, WINDOW, HOT, FETCH, APART = range(6)
-FIRST = -1
+#: A place and a number of windows travel as one long, place * FIRST + number; FIRST - 1 windows
+#: mark a first one.
+FIRST = 1 << 16
 _NULL_ID, _NULL_SEQ = (1 << 63) - 1, 1 << 30
 
 DEALT = ("bucket int, kind int, h array<int>, a array<long>, b array<long>, doc array<long>, "
@@ -231,8 +233,8 @@ def _fetch_task(length: int):
             texts = list(text_bytes(batch.column(2)))
             asked = batch.column(3)
             doc = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(asked).to_numpy())
-            flat = asked.flatten()
-            kind, start, n, key = (flat.field(c).to_numpy() for c in ("kind", "start", "n", "a"))
+            place, key = (asked.flatten().field(i).to_numpy() for i in range(2))
+            kind, (start, n) = np.where(place < 0, APART, FETCH), np.divmod(np.abs(place), FIRST)
             for lo in range(0, len(doc), 1 << 16):
                 part = slice(lo, lo + (1 << 16))
                 d, k, s, m, name = doc[part], kind[part], start[part], n[part], key[part]
@@ -339,6 +341,12 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumn("_doc", key).withColumn("_seq", seq.cast("int"))
 
 
+def _packed(sign, start, n):
+    """Place and number as one long; ``sign`` is kept as the sign (n is never 0)."""
+    value = F.col(start).cast("long") * FIRST + n.cast("long")
+    return F.when(sign, -value).otherwise(value)
+
+
 def _written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
@@ -346,8 +354,8 @@ def _written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc, seq, start, n)``: n windows from ``start`` on that also start earlier, but for those
-    windows that come once more with n = FIRST."""
+    """``(doc, seq, span)``: windows, packed, that also start earlier, but for those that come once
+    more as a first one."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select("_doc", "_seq", "_text")
@@ -356,7 +364,8 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         keyed.mapInArrow(_cut_task(length, buckets), DEALT).repartition(parts, "bucket")
         .mapInArrow(_settle_task(), FLAT), spark, "runs")
     asked = (settled.where(F.col("kind") >= FETCH)
-             .groupBy("doc", "seq").agg(F.collect_list(F.struct("kind", "start", "n", "a")).alias("asked")))
+             .groupBy("doc", "seq")
+             .agg(F.collect_list(F.struct(_packed(F.col("kind") == APART, "start", F.col("n")), "a")).alias("asked")))
     found = (keyed.join(asked, (F.col("_doc") == F.col("doc")) & (F.col("_seq") == F.col("seq")))
              .select("_doc", "_seq", "_text", "asked"))
     sorted_ = _written(found.mapInArrow(_fetch_task(length), FETCHED).repartition(parts, "a")
@@ -365,8 +374,9 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     # Runs that were taken apart count as repeats but for the windows that are first somewhere.
     first = (both.where(F.col("kind") == WINDOW).groupBy("a", "b")
              .agg(F.min(F.struct("doc", "seq", "start")).alias("f")).select("f.*"))
-    return (both.where(F.col("kind").isin(SPAN, APART)).select("doc", "seq", "start", "n")
-            .union(first.select("doc", "seq", "start", F.lit(FIRST).alias("n"))))
+    return (both.where(F.col("kind").isin(SPAN, APART))
+            .select("doc", "seq", _packed(F.lit(False), "start", F.col("n")).alias("span"))
+            .union(first.select("doc", "seq", _packed(F.lit(False), "start", F.lit(FIRST - 1)))))
 
 
 def _remove_udf(length: int):
@@ -376,9 +386,9 @@ def _remove_udf(length: int):
         for raw, here in zip(text_bytes(text), spans, strict=True):
             pieces, upto, runs, lost = [], 0, 0, 0
             if here.is_valid:
-                start, n = (here.values.field(c).to_numpy().astype(np.int64) for c in ("start", "n"))
-                if (n == FIRST).any():
-                    own, start, n = start[n == FIRST], start[n != FIRST], n[n != FIRST]
+                start, n = np.divmod(here.values.to_numpy(), FIRST)
+                if (first := n == FIRST - 1).any():
+                    own, start, n = start[first], start[~first], n[~first]
                     start = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
                     start = start[~np.isin(start, own)]
                     n = np.ones(len(start), np.int64)
@@ -416,12 +426,12 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     empty table gives an empty result.  Two tables of places (no text) are written to the shared
     checkpoint folder.  ``spark.sql.shuffle.partitions`` sets the share of the runs a task holds.
     """
-    if length < 2 * ANCHOR:
-        raise ValueError(f"length must be at least {2 * ANCHOR}")
+    if not 2 * ANCHOR <= length < FIRST:
+        raise ValueError(f"length must be from {2 * ANCHOR} to {FIRST - 1}")
     numbered = (_numbered(docs, id_col, text_col)
                 .withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     spans = (repeated_spans(numbered, length).groupBy("doc", "seq")
-             .agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
+             .agg(F.collect_list("span").alias("_spans"))
              .withColumnsRenamed({"doc": "_sdoc", "seq": "_sseq"}))
     joined = numbered.join(spans, (F.col("_doc") == F.col("_sdoc")) & (F.col("_seq") == F.col("_sseq")),
                            "left")
