@@ -122,11 +122,14 @@ def thresholds(sized: DataFrame, state: DataFrame) -> DataFrame:
                                             F.col("prefix") + 1).otherwise(F.col("prefix")))
 
 
-def apply_mix(docs: DataFrame, **kwargs) -> DataFrame:
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              source_col: str = "source", **kwargs) -> DataFrame:
     """The mixed corpus: every document as many times as the mix takes it, with the columns of
     ``docs``.  A document without words has nothing to take and goes."""
-    plan = mix(docs, **kwargs)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+                       F.col(source_col).alias("_from"))
+    plan = mix(rows, id_col="_id", text_col="_text", source_col="_from", **kwargs)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
     return (plan.withColumn("_times", times.cast("int")).where(F.col("_times") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*"))

@@ -16,7 +16,7 @@ from tabforge.session import checkpoint
 BITS = 64
 SEED = 42
 #: Bucket size up to which all members are compared; larger buckets are divided by more bits.
-MAX_BUCKET = 2048
+MAX_BUCKET = 8192
 
 
 def simhash(raw: bytes, shingle: int) -> int:
@@ -62,19 +62,18 @@ def _signed(mask: int) -> int:
 
 
 def _divide_udf(radius: int):
-    """Finer masks for a bucket: the bits still free are dealt to radius + 1 parts, and a pair
-    within the radius agrees on all of at least one part."""
+    """Finer masks for a bucket: the bits in which its members vary are dealt to radius + 1 parts,
+    and a pair within the radius agrees on all of at least one part."""
 
     @arrow_udf("array<long>")
-    def finer_masks(mask: pa.Array) -> pa.Array:
+    def finer_masks(mask: pa.Array, vary: pa.Array) -> pa.Array:
         out, known = [], {}
-        for m in mask.to_pylist():
-            if m not in known:
-                free = [i for i in range(BITS) if not m >> i & 1]
+        for pair in zip(mask.to_pylist(), vary.to_pylist(), strict=True):
+            if pair not in known:
+                free = [i for i in range(BITS) if pair[1] >> i & 1]
                 parts = [sum(1 << i for i in free[k::radius + 1]) for k in range(radius + 1)]
-                full = m & (2 ** BITS - 1)
-                known[m] = [_signed(full | p) for p in parts]
-            out.append(known[m])
+                known[pair] = [_signed(pair[0] & (2 ** BITS - 1) | p) for p in parts]
+            out.append(known[pair])
         return pa.array(out, pa.list_(pa.int64()))
 
     return finer_masks
@@ -136,15 +135,16 @@ def fingerprint_links(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCK
 
     Each fingerprint goes to one bucket per mask.  Buckets of up to ``max_bucket`` members are
     compared in one streamed pass that emits a spanning forest; the members of larger ones move
-    on to finer masks over the bits they don't share, where each pair within the radius still
-    meets, until every bucket is small or all bits are used (then it has one member).
+    on to finer masks over the bits in which they vary, where each pair within the radius still
+    meets.  Those bits get fewer each time, and v of them leave at most 2^v members.
     """
     masks = F.array(*[F.lit(_signed(m)).cast("long") for m in covering_masks(radius)])
     level = prints.select("fp", F.explode(masks).alias("mask"))
     links = []
     while True:
         level = checkpoint(level.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
-        sizes = checkpoint(level.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"))
+        sizes = checkpoint(level.groupBy("mask", "key").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("vary"))
                            .where(F.col("n") > 1))
         small = level.join(sizes.where(F.col("n") <= max_bucket), ["mask", "key"], "left_semi")
         links.append(small.select("mask", "key", "fp").repartition("mask", "key")
@@ -153,9 +153,9 @@ def fingerprint_links(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCK
         large = sizes.where(F.col("n") > max_bucket)
         if large.isEmpty():
             break
-        level = (level.join(large, ["mask", "key"], "left_semi").select("mask", "fp").distinct()
-                 .select("fp", F.explode(_divide_udf(radius)(F.col("mask"))).alias("mask"))
-                 .distinct())
+        finer = large.select("mask", "key", F.explode(
+            _divide_udf(radius)(F.col("mask"), F.col("vary"))).alias("finer"))
+        level = level.join(finer, ["mask", "key"]).select("fp", F.col("finer").alias("mask")).distinct()
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
