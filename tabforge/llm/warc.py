@@ -22,6 +22,7 @@ RECORD = ("status string, file string, offset long, length long, reason string,
 GZIP = b"\x1f\x8b\x08"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+ONCE = (b"warc-type", b"warc-record-id", b"warc-date", b"content-length")
 #: Decompressed bytes that one gzip member may have.
 MAX_MEMBER = 1 << 28
 
@@ -126,7 +127,10 @@ def _parse(data: bytes, pos: int):
         name, colon, value = line.partition(b":")
         if not colon:
             return "bad header line"
-        headers.setdefault(name.strip().lower(), value.strip())
+        name = name.strip().lower()
+        if name in headers and name in ONCE:
+            return "header line is repeated"  # as where a cut record runs into the next
+        headers.setdefault(name, value.strip())
     length = headers.get(b"content-length", b"")
     if not length.isdigit():
         return "no content length"
