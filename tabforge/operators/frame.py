@@ -74,13 +74,16 @@ def update_from(df: DataFrame, other: DataFrame, key: str | Sequence[str],
     """``DataFrame.update``: overwrite cells with the non-NULL values of ``other``.
 
     Rows are aligned on ``key``; rows of ``df`` without a partner keep their
-    values.  ``bound`` is a proven row bound of ``other`` (broadcast if small).
+    values; a key that repeats in ``other`` is an error.  ``bound`` is a proven row bound of ``other`` (broadcast if small).
     """
     from tabforge.operators.joins import attach
 
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(columns) if columns else [c for c in other.columns if c not in keys]
     require_columns(df, keys + cols)
+    again = other.groupBy(*[qcol(k) for k in keys]).count().where(F.col("count") > 1)
+    if not again.isEmpty():
+        raise ValueError(f"update_from: {keys} repeats in the other table")
     renamed = other.select(*[qcol(k) for k in keys],
                            *[qcol(c).alias(f"__upd_{i}") for i, c in enumerate(cols)])
     joined = attach(df, renamed, on=keys, how="left", bound=bound)

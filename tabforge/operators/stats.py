@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
@@ -69,8 +69,16 @@ def corr_long(df: DataFrame, columns: Sequence[str], complete_rows: bool = False
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    agg = df.agg(*[F.corr(qcol(cols[i]).cast("double"), qcol(cols[j]).cast("double")).alias(f"_r{k}")
-                   for k, (i, j) in enumerate(pairs)])
+
+    def corr(a: str, b: str) -> Column:
+        # NULL where either column is constant over the rows that have both
+        x, y = qcol(a).cast("double"), qcol(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        varies = [F.max(F.when(both, v)) > F.min(F.when(both, v)) for v in (x, y)]
+        cov, sx, sy = F.covar_pop(x, y), F.stddev_pop(F.when(both, x)), F.stddev_pop(F.when(both, y))
+        return F.when(varies[0] & varies[1], F.try_divide(cov, sx * sy))
+
+    agg = df.agg(*[corr(cols[i], cols[j]).alias(f"_r{k}") for k, (i, j) in enumerate(pairs)])
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(min(cols[i], cols[j])).alias("a"), F.lit(max(cols[i], cols[j])).alias("b"),
                  F.col(f"_r{k}").alias("r"))

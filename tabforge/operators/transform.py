@@ -94,12 +94,17 @@ class LambdaFit:
     scores: dict[str, float] = field(default_factory=dict)
 
 
+#: Times that the search for lambda may widen its range before it gives up with an error.
+MAX_WIDENINGS = 8
+
+
 def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
                 shift: float = 1.0, lo: float = -5.0, hi: float = 5.0, grid: int = 41,
                 refinements: int = 3) -> LambdaFit:
     """λ per column for ``boxcox(column + shift)`` (``shift=1`` as ``boxcox_normmax(x + 1)``).
 
-    Columns must be ``> -shift``.  Grid search over ``[lo, hi]`` then
+    Columns must be ``> -shift`` (else an error).  Grid search over ``[lo, hi]``, which moves on
+    and widens while the best point is at its edge, then
     ``refinements`` grids of the same size around the best point; the final
     step is ``(hi - lo) / (grid - 1) ** (refinements + 1) * 2**refinements``.
     """
@@ -118,6 +123,10 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
         raise ValueError(f"unknown method {method!r}")
     # one row per distinct value; cut the lineage before the λ passes
     table = checkpoint(table)
+    low = [r["feature"] for r in table.groupBy("feature").agg(F.min("x").alias("x"))
+           .where(F.col("x") <= 0).collect()]
+    if low:
+        raise ValueError(f"values at or below {-shift} have no Box-Cox transform: {sorted(low)}")
     # per-column constants, λ-independent: Σz, Σz², Σ cnt·log x, n, a centring point
     consts = {r["feature"]: r for r in table.groupBy("feature").agg(
         F.sum("z").alias("sz"), F.sum("zz").alias("szz"), F.max("_n").alias("n"),
@@ -128,15 +137,27 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
     half = {c: (hi - lo) / 2.0 for c in cols}
     best: dict[str, float] = {}
     score: dict[str, float] = {}
-    for _ in range(refinements + 1):
+    passes, widened = refinements + 1, 0
+    while passes:
         cand = {c: np.linspace(centers[c] - half[c], centers[c] + half[c], grid) for c in cols}
         vals = _grid_pass(table, cand, consts, method)
         for c in cols:
             k = int(np.nanargmax(vals[c])) if np.isfinite(vals[c]).any() else grid // 2
             best[c] = float(cand[c][k])
             score[c] = float(vals[c][k])
-            step = cand[c][1] - cand[c][0]
-            centers[c], half[c] = best[c], step
+        # while some best point lies on its grid's edge, look on around it, twice as wide
+        edge = {c for c in cols if np.isfinite(score[c])
+                and best[c] in (float(cand[c][0]), float(cand[c][-1]))}
+        if edge and widened < MAX_WIDENINGS:
+            widened += 1
+            for c in edge:
+                centers[c], half[c] = best[c], 2 * half[c]
+            continue
+        if edge:
+            raise ValueError(f"no best lambda within {widened} widenings: {sorted(edge)}")
+        passes -= 1
+        for c in cols:
+            centers[c], half[c] = best[c], cand[c][1] - cand[c][0]
     return LambdaFit(best, score)
 
 

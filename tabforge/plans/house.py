@@ -120,6 +120,9 @@ def derive_features(df: DataFrame, fit_on: DataFrame | None = None,
     df = impute.fill_group(df, "MSZoning", "MSSubClass", stat="mode", fit_on=src)
     df = impute.fill_group(df, "LotFrontage", "Neighborhood", stat="median", fit_on=src)
     df = clean.replace_values(df, EXTERIOR_TYPOS, ["Exterior1st", "Exterior2nd"])
+    # cell writes come before anything is derived from the cells
+    if patches:
+        df = clean.patch_cells(df, list(patches), KEY)
     fitted_bins = encode.fit_equal_width(src, "YearBuilt", 7)
     df = df.withColumns({
         "HasAlley": derive.present("Alley"),
@@ -153,8 +156,6 @@ def derive_features(df: DataFrame, fit_on: DataFrame | None = None,
         "MiscVal_int": qcol("MiscVal"),
         "HasShed": derive.all_of(F.col("MiscFeature") == "Shed", F.col("MiscVal") > 0),
     })
-    if patches:
-        df = clean.patch_cells(df, list(patches), KEY)
     df = df.withColumns({c: encode.ordinal(c, QUALITIES) for c in
                          ("ExterQual", "ExterCond", "BsmtQual", "BsmtCond", "HeatingQC",
                           "KitchenQual", "FireplaceQu", "GarageQual", "GarageCond")})

@@ -969,13 +969,13 @@ _PRIO_CASE = ("CASE prio WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4 WHEN '3-MED
 WITH agg AS (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines, SUM(l_quantity) AS sum_qty,
                     AVG(l_discount) AS avg_disc, SUM(l_extendedprice) AS sum_price
              FROM lineitem GROUP BY l_orderkey),
-b AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_orderdate, c.c_mktsegment, a.n_lines, a.sum_qty,
-             a.avg_disc,
+b AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_orderdate, c.c_mktsegment, COALESCE(a.n_lines, 0) AS n_lines,
+             COALESCE(a.sum_qty, 0) AS sum_qty, COALESCE(a.avg_disc, 0) AS avg_disc,
              CASE WHEN o.o_custkey % 7 = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal,
              CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE o.o_orderpriority END AS o_orderpriority,
-             CASE WHEN o.o_orderdate < TIMESTAMP '2000-01-01' THEN a.sum_price END AS label,
+             CASE WHEN o.o_orderdate < TIMESTAMP '2000-01-01' THEN COALESCE(a.sum_price, 0) END AS label,
              CASE WHEN o.o_orderdate < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS _split
-      FROM orders o JOIN agg a ON o.o_orderkey = a.o_orderkey
+      FROM orders o LEFT JOIN agg a ON o.o_orderkey = a.o_orderkey
       LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
 med AS (SELECT c_mktsegment, quantile_cont(c_acctbal, 0.5) AS m FROM b GROUP BY c_mktsegment),
 pm AS (SELECT o_orderpriority AS v FROM b WHERE o_orderpriority IS NOT NULL
@@ -991,7 +991,7 @@ SELECT o_orderkey, _split, ROUND(label, 6) AS label, n_lines,
   {_PRIO_CASE} AS prio_int,
   CAST(COALESCE(prio = '1-URGENT', FALSE) AS INTEGER) AS is_urgent,
   CAST(COALESCE(n_lines - 4 > 0, FALSE) AS INTEGER) AS big_order,
-  ROUND(sum_qty / n_lines, 6) AS qty_per_line,
+  ROUND(COALESCE(sum_qty / NULLIF(n_lines, 0), 0), 6) AS qty_per_line,
   CAST(month(o_orderdate) AS INTEGER) AS order_month,
   {_ew_sql('y', 'ylo', 'yhi', 7)} AS year_bin,
   {", ".join(_dummy_sql("o_orderstatus", ["F", "O", "P"]) + _dummy_sql("c_mktsegment", SEGMENTS))}

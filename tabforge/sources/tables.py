@@ -10,6 +10,7 @@ tables; Catalyst pushes projections and filters into those scans.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -33,7 +34,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
               .option("mode", "FAILFAST"))
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
-    return reader.schema(schema).csv(path)
+    return nan_to_null(reader.schema(schema).csv(path))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in float and double columns as NULL: missing is one thing."""
+    real = [f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in real})
 
 
 def write_csv(df: DataFrame, path: str, null_value: str = "NA",
