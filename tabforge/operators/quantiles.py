@@ -18,18 +18,19 @@ to one task.  Both break when one group holds a third of the rows.  Here:
 A quantile at ``p`` is read off as the values at ranks ``floor(p(n-1))`` and
 ``ceil(p(n-1))`` and interpolated linearly, which is what pandas, numpy and
 DuckDB's ``quantile_cont`` compute.  The last step is one more aggregation,
-again map-side combined.
+again map-side combined.  Quantiles of whole columns, without groups or weights, come from
+``brackets``, which shuffles no rows at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
+from tabforge.operators.brackets import quantile_values
 from tabforge.session import checkpoint
 
 _CNT, _BEFORE, _N, _PID = "_cnt", "_before", "_n", "_pid"
@@ -39,11 +40,6 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    conds = [left[c].eqNullSafe(right[c]) for c in cols]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
                 weight: str | None = None) -> DataFrame:
     """Distinct ``(by..., value)`` with ``_cnt``, ``_before`` and group size ``_n``.
@@ -103,6 +99,10 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         per = df.groupBy(*[qcol(b) for b in by]).agg(q.alias("_q"))
         return per.select(*[qcol(b) for b in by],
                           *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    if not by and weight is None:
+        got = quantile_values(df, {value: qcol(value)}, probs)
+        return df.sparkSession.createDataFrame(
+            [tuple(map(float, v)) for v in got.values()], ", ".join(f"`{n}` double" for n in names))
     ranks = value_ranks(df, value, by, weight)
     n1 = (F.col(_N) - 1).cast("double")
     aggs = []
@@ -123,13 +123,13 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                      names: Sequence[str] | None = None) -> DataFrame:
-    """Quantiles of many numeric columns in one job: ``(feature, q...)`` rows.
-
-    The columns are unpivoted to ``(feature, value)`` inside the scan stage,
-    so only pre-aggregated ``(feature, value, count)`` rows are shuffled.
-    """
-    long = unpivot(df, columns)
-    return quantiles(long, "value", probs, by=["feature"], names=names)
+    """Exact quantiles of many numeric columns: ``(feature, q...)`` rows, columns without values
+    left out.  Brackets are narrowed for all columns together (``brackets``)."""
+    names = list(names) if names else [f"q_{i}" for i in range(len(probs))]
+    got = quantile_values(df, {c: qcol(c) for c in columns}, probs)
+    return df.sparkSession.createDataFrame(
+        [(c, *map(float, v)) for c, v in got.items()],
+        "feature string, " + ", ".join(f"`{n}` double" for n in names))
 
 
 def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
