@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,36 +23,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
+from tabforge.sources.tables import nan_to_null
 
 
 @dataclass
 class Stats:
-    """Statistics of one row set (a fold, a complement, or everything)."""
+    """Statistics of one row set (a fold, a complement, or everything).
+
+    The sums are those of ``x - x0`` and ``y - y0``; a shift near the means keeps the centred
+    moments free of cancellation.  Sets that are added or subtracted share their shift.
+    """
     n: float
     sx: np.ndarray
     sy: float
     sxx: np.ndarray
     sxy: np.ndarray
     syy: float
+    x0: np.ndarray | float = 0.0
+    y0: float = 0.0
 
     def __add__(self, o: "Stats") -> "Stats":
         return Stats(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.sxx + o.sxx,
-                     self.sxy + o.sxy, self.syy + o.syy)
+                     self.sxy + o.sxy, self.syy + o.syy, self.x0, self.y0)
 
     def __sub__(self, o: "Stats") -> "Stats":
         return Stats(self.n - o.n, self.sx - o.sx, self.sy - o.sy, self.sxx - o.sxx,
-                     self.sxy - o.sxy, self.syy - o.syy)
+                     self.sxy - o.sxy, self.syy - o.syy, self.x0, self.y0)
 
     @property
     def d(self) -> int:
         return len(self.sx)
 
     def means(self) -> tuple[np.ndarray, float]:
-        return self.sx / self.n, self.sy / self.n
+        return self.sx / self.n + self.x0, self.sy / self.n + self.y0
+
+    def moments(self) -> tuple[np.ndarray, np.ndarray]:
+        """``XᵀX, Xᵀy`` of the unshifted rows."""
+        x0 = np.broadcast_to(self.x0, self.sx.shape)
+        sx = self.sx + self.n * x0
+        sy = self.sy + self.n * self.y0
+        return (self.sxx + np.outer(self.sx, x0) + np.outer(x0, sx),
+                self.sxy + self.sx * self.y0 + x0 * sy)
+
+    def sst(self) -> float:
+        """``Σ (y - ȳ)²``."""
+        return self.syy - self.sy * self.sy / self.n
 
     def centered(self) -> tuple[np.ndarray, np.ndarray, float]:
         """``XcᵀXc, Xcᵀyc, ycᵀyc`` around this set's own means."""
-        mx, my = self.means()
+        mx, my = self.sx / self.n, self.sy / self.n
         g = self.sxx - self.n * np.outer(mx, mx)
         c = self.sxy - self.n * mx * my
         s = self.syy - self.n * my * my
@@ -60,14 +80,16 @@ class Stats:
     def scaled(self, center: np.ndarray, scale: np.ndarray) -> "Stats":
         """Statistics of ``(x - center) / scale`` (an affine map of the rows)."""
         inv = 1.0 / scale
+        center = center - self.x0
         sx = (self.sx - self.n * center) * inv
         sxx = (self.sxx - np.outer(self.sx, center) - np.outer(center, self.sx)
                + self.n * np.outer(center, center)) * np.outer(inv, inv)
         sxy = (self.sxy - center * self.sy) * inv
-        return Stats(self.n, sx, self.sy, sxx, sxy, self.syy)
+        return Stats(self.n, sx, self.sy, sxx, sxy, self.syy, 0.0, self.y0)
 
     def sse(self, w: np.ndarray, b: float) -> float:
         """``Σ (y - xw - b)²`` over this set."""
+        b = b + float(np.sum(w * self.x0)) - self.y0
         return float(self.syy - 2 * w @ self.sxy - 2 * b * self.sy + w @ self.sxx @ w
                      + 2 * b * w @ self.sx + self.n * b * b)
 
@@ -107,7 +129,7 @@ def _layout(d: int) -> int:
     return 1 + d + 1 + d * d + d + 1
 
 
-def _unpack(v: np.ndarray, d: int) -> Stats:
+def _unpack(v: np.ndarray, d: int, x0: np.ndarray, y0: float) -> Stats:
     i = 0
     n = v[i]; i += 1
     sx = v[i:i + d]; i += d
@@ -115,27 +137,42 @@ def _unpack(v: np.ndarray, d: int) -> Stats:
     sxx = v[i:i + d * d].reshape(d, d); i += d * d
     sxy = v[i:i + d]; i += d
     syy = v[i]
-    return Stats(float(n), sx.copy(), float(sy), sxx.copy(), sxy.copy(), float(syy))
+    return Stats(float(n), sx.copy(), float(sy), sxx.copy(), sxy.copy(), float(syy), x0, y0)
 
 
 def gram_stats(df: DataFrame, features: Sequence[str], label: str,
-               fold: str | None = None, fanin: int = 32) -> FoldStats:
-    """Per-fold statistics of ``label ~ features``; rows with a NULL are skipped."""
+               fold: str | None = None, fanin: int = 32, nulls: str = "error") -> FoldStats:
+    """Per-fold statistics of ``label ~ features``.
+
+    Rows with a NULL (or NaN) feature, label or fold are counted and raise an error;
+    ``nulls="skip"`` leaves them out instead.  A first aggregation takes the column means, by
+    which the second pass shifts its sums.
+    """
+    if nulls not in ("error", "skip"):
+        raise ValueError(f"unknown treatment of NULLs {nulls!r}")
     feats = list(features)
     d = len(feats)
     m = _layout(d)
     fold_col = qcol(fold).cast("int") if fold else F.lit(0)
     src = df.select(fold_col.alias("_fold"), qcol(label).cast("double").alias("_y"),
                     *[qcol(c).cast("double").alias(f"_f{i}") for i, c in enumerate(feats)])
-    src = src.dropna()
+    src = nan_to_null(src)
     xnames = [f"_f{i}" for i in range(d)]
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in src.columns])
+    first = src.agg(F.count_if(bad).alias("bad"),
+                    *[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in ["_y", *xnames]]).first()
+    if first["bad"] and nulls == "error":
+        raise ValueError(f"{first['bad']} rows hold a NULL feature or label: impute them first, "
+                         "or leave them out by nulls='skip'")
+    src = src.dropna()
+    x0, y0 = np.array([first[c] for c in xnames], dtype=np.float64), float(first["_y"])
 
     def partial(batches):
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             for g, part in pdf.groupby("_fold"):
-                x = part[xnames].to_numpy(dtype=np.float64)
-                y = part["_y"].to_numpy(dtype=np.float64)
+                x = part[xnames].to_numpy(dtype=np.float64) - x0
+                y = part["_y"].to_numpy(dtype=np.float64) - y0
                 v = np.concatenate([[len(y)], x.sum(0), [y.sum()], (x.T @ x).ravel(),
                                     x.T @ y, [y @ y]])
                 g = int(g)
@@ -159,5 +196,5 @@ def gram_stats(df: DataFrame, features: Sequence[str], label: str,
     final = cur.groupBy("_fold").agg(vsum("_v").alias("_v"))
     out = {}
     for r in final.collect():
-        out[int(r["_fold"])] = _unpack(np.asarray(r["_v"], dtype=np.float64), d)
+        out[int(r["_fold"])] = _unpack(np.asarray(r["_v"], dtype=np.float64), d, x0, y0)
     return FoldStats(out)

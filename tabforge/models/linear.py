@@ -15,6 +15,7 @@ driver; the rows are read once, by ``gram_stats``.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -26,6 +27,14 @@ from tabforge.functions.nullsafe import qcol
 from tabforge.models.gram import FoldStats, Stats, gram_stats
 
 
+class NotConverged(UserWarning):
+    """An iteration limit was reached before the tolerance."""
+
+
+#: Sweeps after which coordinate descent gives up, with a ``NotConverged`` warning.
+MAX_SWEEPS = 1_000_000
+
+
 @dataclass
 class LinearModel:
     features: list[str]
@@ -60,14 +69,15 @@ def solve_ridge(s: Stats, alpha: float) -> tuple[np.ndarray, float]:
 
 def enet_batch(g: np.ndarray, c: np.ndarray, l1: np.ndarray, l2: np.ndarray,
                w0: np.ndarray | None = None, tol: float = 1e-6,
-               max_iter: int = 10_000) -> np.ndarray:
+               max_iter: int = MAX_SWEEPS) -> np.ndarray:
     """Coordinate descent for a batch of elastic-net problems at once.
 
     Problem ``b`` minimises ``½ wᵀG_b w - c_bᵀw + l1_b ||w||₁ + ½ l2_b ||w||²``
     (the centred least-squares objective times ``n``).  Every sweep updates
     coordinate ``j`` of all unconverged problems with numpy; a problem stops
     when its largest coefficient change is below ``tol`` times its largest
-    coefficient.
+    coefficient; problems that have not stopped after ``max_iter`` sweeps give a
+    ``NotConverged`` warning.
     """
     bsz, d = c.shape
     w = np.zeros((bsz, d)) if w0 is None else w0.astype(np.float64, copy=True)
@@ -101,11 +111,13 @@ def enet_batch(g: np.ndarray, c: np.ndarray, l1: np.ndarray, l2: np.ndarray,
             l1a, l2a, den, safe = l1a[keep], l2a[keep], den[keep], safe[keep]
     if active.size:
         w[active] = wa
+        warnings.warn(f"{active.size} of {bsz} problems did not converge in {max_iter} sweeps",
+                      NotConverged, stacklevel=2)
     return w
 
 
 def solve_enet(s: Stats, alpha: float, l1_ratio: float = 1.0, w0: np.ndarray | None = None,
-               tol: float = 1e-6, max_iter: int = 10_000) -> tuple[np.ndarray, float]:
+               tol: float = 1e-6, max_iter: int = MAX_SWEEPS) -> tuple[np.ndarray, float]:
     """Elastic net (lasso at ``l1_ratio=1``) on one set of statistics."""
     g, c, _ = s.centered()
     n = s.n
@@ -115,38 +127,44 @@ def solve_enet(s: Stats, alpha: float, l1_ratio: float = 1.0, w0: np.ndarray | N
     return w, _intercept(s, w)
 
 
-def solve_bayes_ridge(s: Stats, n_iter: int = 300, tol: float = 1e-3, alpha_1: float = 1e-6,
-                      alpha_2: float = 1e-6, lambda_1: float = 1e-6,
-                      lambda_2: float = 1e-6) -> tuple[np.ndarray, float, float, float]:
-    """Evidence maximisation on the eigen-decomposition of the centred Gram matrix."""
-    g, c, syy = s.centered()
-    n = s.n
-    ev, v = np.linalg.eigh(g)
-    ev = np.clip(ev, 0.0, None)
-    var_y = syy / n
-    alpha_ = 1.0 / (var_y + np.finfo(np.float64).eps)
-    lambda_ = 1.0
-    vtc = v.T @ c
-    coef_old = None
-    coef = np.zeros(s.d)
+def solve_bayes_ridge(s: Stats, n_iter: int = 10_000, tol: float = 1e-3, shape: float = 1e-6,
+                      rate: float = 1e-6) -> tuple[np.ndarray, float, float, float]:
+    """``(coefficients, intercept, noise precision, weight precision)`` by evidence maximisation.
+
+    In the eigenbasis of the centred Gram matrix the posterior mean divides each projection by
+    ``eigenvalue + weight / noise precision``.  The number of well-determined directions then gives
+    both precisions anew (each with a ``Gamma(shape, rate)`` prior), until the mean moves less than
+    ``tol`` in sum; a ``NotConverged`` warning says that ``n_iter`` rounds did not suffice.
+    """
+    gram, cross, total = s.centered()
+    size, basis = np.linalg.eigh(gram)
+    size = np.maximum(size, 0.0)
+    target = basis.T @ cross
+    noise, weight = 1.0 / (total / s.n + np.finfo(np.float64).eps), 1.0
+
+    def mean() -> np.ndarray:
+        return basis @ (target / (size + weight / noise))
+
+    before, now = None, mean()
     for _ in range(n_iter):
-        coef = v @ (vtc / (ev + lambda_ / alpha_))
-        rmse = float(syy - 2 * coef @ c + coef @ g @ coef)
-        gamma = float(np.sum(alpha_ * ev / (lambda_ + alpha_ * ev)))
-        lambda_ = (gamma + 2 * lambda_1) / (float(coef @ coef) + 2 * lambda_2)
-        alpha_ = (n - gamma + 2 * alpha_1) / (rmse + 2 * alpha_2)
-        if coef_old is not None and np.sum(np.abs(coef_old - coef)) < tol:
+        determined = float((noise * size / (weight + noise * size)).sum())
+        residual = float(total - 2 * now @ cross + now @ gram @ now)
+        weight = (determined + 2 * shape) / (float(now @ now) + 2 * rate)
+        noise = (s.n - determined + 2 * shape) / (residual + 2 * rate)
+        if before is not None and np.abs(now - before).sum() < tol:
             break
-        coef_old = coef
-    coef = v @ (vtc / (ev + lambda_ / alpha_))
-    return coef, _intercept(s, coef), alpha_, lambda_
+        before, now = now, mean()
+    else:
+        warnings.warn(f"evidence not settled in {n_iter} rounds", NotConverged, stacklevel=2)
+    now = mean()
+    return now, _intercept(s, now), noise, weight
 
 
 # ----------------------------------------------------------------------------- CV scoring
 
 def _r2(val: Stats, w: np.ndarray, b: float) -> float:
     sse = val.sse(w, b)
-    sst = val.syy - val.sy * val.sy / val.n
+    sst = val.sst()
     return 1.0 - sse / sst if sst > 0 else 0.0
 
 
@@ -216,7 +234,7 @@ def fit_elastic_net(df: DataFrame, features: Sequence[str], label: str, alpha: f
 
 
 def fit_bayes_ridge(df: DataFrame, features: Sequence[str], label: str,
-                    stats: FoldStats | None = None, n_iter: int = 300) -> LinearModel:
+                    stats: FoldStats | None = None, n_iter: int = 10_000) -> LinearModel:
     s = _fit_stats(df, features, label, None, stats).total()
     w, b, a, lam = solve_bayes_ridge(s, n_iter=n_iter)
     return LinearModel(list(features), w, b, {"alpha_": a, "lambda_": lam})

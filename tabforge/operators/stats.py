@@ -88,9 +88,11 @@ def corr_long(df: DataFrame, columns: Sequence[str], complete_rows: bool = False
 def _corr_from_gram(df: DataFrame, cols: list[str]) -> DataFrame:
     import numpy as np
     from tabforge.models.gram import gram_stats
-    s = gram_stats(df, cols, cols[0]).total()
+    s = gram_stats(df, cols, cols[0], nulls="skip").total()
     g, _, _ = s.centered()
-    sd = np.sqrt(np.clip(np.diag(g), 0.0, None))
+    # a constant column's spread is rounding of its mean, no variance
+    noise = s.n * (1e-13 * np.abs(s.means()[0])) ** 2
+    sd = np.sqrt(np.where(np.diag(g) > noise, np.diag(g), 0.0))
     rows = []
     for i in range(len(cols)):
         for j in range(i + 1, len(cols)):

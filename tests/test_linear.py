@@ -17,10 +17,11 @@ def test_gram_stats_and_fold_complements(spark):
     df, x, y = _frame(spark)
     fs = gram_stats(df.repartition(6), ["a", "b", "c"], "y", "fold", fanin=2)
     tot = fs.total()
-    assert np.allclose(tot.sxx, x.T @ x) and np.allclose(tot.sxy, x.T @ y) and tot.n == 200
+    sxx, sxy = tot.moments()
+    assert np.allclose(sxx, x.T @ x) and np.allclose(sxy, x.T @ y) and tot.n == 200
     tr = fs.train(2)
     m = np.arange(200) % 5 != 2
-    assert np.allclose(tr.sxx, x[m].T @ x[m]) and tr.n == m.sum()
+    assert np.allclose(tr.moments()[0], x[m].T @ x[m]) and tr.n == m.sum()
 
 
 def test_ridge_closed_form(spark):
@@ -73,5 +74,5 @@ def test_pair_stats_marginals_equal_separate_passes(spark):
     by_fold = pair.marginal(lambda p: p // 3)
     direct = gram_stats(df, ["a", "b", "c"], "y", "fold")
     for k in direct.folds:
-        assert np.allclose(by_fold.folds[k].sxx, direct.folds[k].sxx)
+        assert np.allclose(by_fold.folds[k].moments()[0], direct.folds[k].moments()[0])
         assert by_fold.folds[k].n == direct.folds[k].n
