@@ -59,7 +59,7 @@ def llf_grid(df: DataFrame, column: str, lambdas: Sequence[float], shift: float
                                  - F.col("n") / 2.0 * F.log(F.col("v"))).alias("llf"))
 
 
-def _normal_score_sums(ranks: DataFrame) -> DataFrame:
+def normal_score_sums(ranks: DataFrame) -> DataFrame:
     """``(feature, x, cnt, z)``: Σ of normal order-statistic medians over each value's ranks.
 
     Filliben's medians: ``1 - 0.5**(1/n)`` for rank 1, ``0.5**(1/n)`` for rank
@@ -115,7 +115,7 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
     long = long.select("feature", (F.col("value") + F.lit(float(shift))).alias("x"))
     ranks = value_ranks(long, "x", by=["feature"])
     if method == "pearsonr":
-        table = _normal_score_sums(ranks)
+        table = normal_score_sums(ranks)
     elif method == "mle":
         table = ranks.select("feature", "x", "_cnt", "_n", F.lit(0.0).alias("z"),
                              F.lit(0.0).alias("zz"))
@@ -227,10 +227,16 @@ class SkewFixModel:
             rows, "feature string, skew_before double, skew_after double, lambda double")
 
 
+def select_skewed(df: DataFrame, columns: Sequence[str], threshold: float = 0.5
+                  ) -> tuple[list[str], dict[str, float]]:
+    """Columns whose skewness exceeds ``threshold`` (positive only), and every column's skewness."""
+    rep = {r["feature"]: r["skew"] for r in skew_report(df, columns).collect()}
+    return [c for c in columns if rep.get(c) is not None and rep[c] > threshold], rep
+
+
 def fit_skew_fix(df: DataFrame, columns: Sequence[str], threshold: float = 0.5,
                  method: str = "pearsonr") -> SkewFixModel:
     """Select columns with skewness > ``threshold`` (positive only) and fit λ on ``x + 1``."""
-    rep = {r["feature"]: r["skew"] for r in skew_report(df, columns).collect()}
-    chosen = [c for c in columns if rep.get(c) is not None and rep[c] > threshold]
+    chosen, rep = select_skewed(df, columns, threshold)
     fit = fit_lambdas(df, chosen, method=method, shift=1.0)
     return SkewFixModel(fit.lambdas, rep)

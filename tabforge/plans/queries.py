@@ -1001,3 +1001,7 @@ def q_engineered(spark, d):
     f, feats = engineer(spark, d)
     dbl = {"label", "units", "avg_disc", "c_acctbal", "qty_per_line"}
     return f.select(*[r6(c).alias(c) if c in dbl else qcol(c) for c in f.columns])
+
+
+# the model layer's settings that SQL can follow; registers itself on import
+from tabforge.plans import model_checks  # noqa: E402,F401
