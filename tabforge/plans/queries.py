@@ -939,7 +939,7 @@ def q_stacking(spark, d):
     from tabforge.models.ensemble import EnsembleConfig, fit_stack
     train, test, feats = _model_train(spark, d)
     m = fit_stack(train, "o_orderkey", feats, "label_log",
-                  EnsembleConfig(stack_folds=5, gbt_trees=10))
+                  EnsembleConfig(stack_folds=5, gbt_trees=10, gbt_loss="squared"))
     return m.transform(test, "pred_stack").select("o_orderkey", r6("pred_stack").alias("pred_stack"))
 
 
@@ -947,7 +947,8 @@ def q_stacking(spark, d):
 def q_fit_predict(spark, d):
     from tabforge.models.ensemble import EnsembleConfig
     from tabforge.plans.pipeline import fit_predict
-    return fit_predict(spark, d, EnsembleConfig(cv_folds=20, stack_folds=5, gbt_trees=20))
+    return fit_predict(spark, d, EnsembleConfig(cv_folds=20, stack_folds=5, gbt_trees=20,
+                                                       gbt_loss="squared"))
 
 
 @register("repeated_holdout")
@@ -956,7 +957,8 @@ def q_repeated_holdout(spark, d):
     from tabforge.models.evaluate import repeated_holdout
     train, _, feats = _model_train(spark, d)
     _, summary = repeated_holdout(train, "o_orderkey", feats, "label", repeats=2,
-                                  cfg=EnsembleConfig(cv_folds=5, stack_folds=3, gbt_trees=5))
+                                  cfg=EnsembleConfig(cv_folds=5, stack_folds=3, gbt_trees=5,
+                                                     gbt_loss="squared"))
     return summary.select(r6("mean").alias("mean"), r6("variance").alias("variance"),
                           r6("stdev").alias("stdev"), "n")
 
