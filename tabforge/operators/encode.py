@@ -137,12 +137,13 @@ class OneHotModel:
         return out.drop(*cols) if drop_source else out
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> OneHotModel:
+def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int | None = 1000) -> OneHotModel:
     """Distinct levels of every column in one job (values read as strings).
 
     The fitted vocabulary is collected, so its size is checked: more than
     ``max_levels`` levels in a column raises instead of building a huge
-    dense schema.
+    dense schema.  ``None`` sets no limit, for columns whose levels the caller knows to be few
+    or encodes by ``to_vector``.
     """
     require_columns(df, columns)
     if not columns:
@@ -151,16 +152,16 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -
         F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("level")) for c in columns]))
     levels = (df.select(pairs.alias("kv")).select("kv.column", "kv.level")
               .where(F.col("level").isNotNull()).distinct())
-    cap = max_levels * len(columns)
-    rows = levels.limit(cap + 1).collect()
-    if len(rows) > cap:
+    cap = None if max_levels is None else max_levels * len(columns)
+    rows = levels.collect() if cap is None else levels.limit(cap + 1).collect()
+    if cap is not None and len(rows) > cap:
         raise ValueError(f"more than {max_levels} levels per column on average; "
                          "use a vector encoder for high-cardinality columns")
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["level"])
     for c, lvs in out.items():
-        if len(lvs) > max_levels:
+        if max_levels is not None and len(lvs) > max_levels:
             raise ValueError(f"column {c!r} has {len(lvs)} levels (> {max_levels})")
         lvs.sort()
     return OneHotModel(out)

@@ -69,13 +69,18 @@ def _top_k(df: DataFrame, part: list[str], order: list[Column], k: int, salt: Co
 
 def knn_impute(df: DataFrame, key: str, features: Sequence[str],
                targets: Sequence[str] | None = None, k: int = 10,
-               block: Sequence[str] | str | None = None, donor_buckets: int = 1) -> DataFrame:
-    """Fill NULLs of ``targets`` (default: all ``features``); other cells unchanged."""
+               block: Sequence[str] | str | None = None,
+               donor_buckets: int | None = None) -> DataFrame:
+    """Fill NULLs of ``targets`` (default: all ``features``); other cells unchanged.
+
+    ``donor_buckets`` (default: the session's shuffle partitions) is the number of tasks over
+    which one block and target, also an unblocked call's only one, are spread.
+    """
     feats = list(features)
     targets = list(targets) if targets else feats
     tidx = [feats.index(t) for t in targets]
     blocks = [block] if isinstance(block, str) else list(block or [])
-    nb = max(1, int(donor_buckets))
+    nb = max(1, int(donor_buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
     d = len(feats)
     bcols = [f"_b{i}" for i in range(len(blocks))]
 

@@ -202,7 +202,7 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
     mode = impute.fit_mode_imputer(df.where(F.col("_split") == "train") if fit_on == "train" else df,
                                    p.one_hot)
     df = mode.transform(df)
-    onehot = encode.fit_one_hot(df, p.one_hot)
+    onehot = encode.fit_one_hot(df, p.one_hot, max_levels=None)
     df = onehot.transform(df)
     if overfit_dummies == "auto":
         df = encode.drop_unshared_levels(df, onehot)
