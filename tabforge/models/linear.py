@@ -32,7 +32,7 @@ class NotConverged(UserWarning):
 
 
 #: Sweeps after which coordinate descent gives up, with a ``NotConverged`` warning.
-MAX_SWEEPS = 1_000_000
+MAX_SWEEPS = 100_000
 
 
 @dataclass

@@ -320,7 +320,7 @@ def q_stacking_ridge(spark, d):
     from tabforge.models.ensemble import EnsembleConfig, fit_stack
     rows = _rows(spark, d).drop("fold")
     cfg = EnsembleConfig(stack_folds=5, gbt_trees=0, per_fold_scaling=False, fold_method="mod",
-                         bases=("ridge",))
+                         bases=("ridge",), meta_tol=1e-9)
     m = fit_stack(rows, "l_orderkey", FEATS, "y", cfg)
     return m.transform(rows, "pred").select("l_orderkey", r4("pred").alias("pred"))
 
