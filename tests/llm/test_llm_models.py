@@ -128,6 +128,42 @@ def test_every_licence_line_is_found(spark):
         assert own[r.doc_id] == (stated[0] if stated else None)
 
 
+WRAPPED = {
+    "GPL-3.0": """/*
+ * Copyright (C) 2011 Someone
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return 0; }
+""",
+    "MIT": """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a
+copy of this software and associated documentation files, to deal in the
+Software without restriction.
+""",
+    "MPL-2.0": """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0.
+import os
+"""}
+
+
+def test_wrapped_notices(spark):
+    prose = read_table(spark, SF, "documents").select("doc_id", F.lit("p/x").alias("path"), "text")
+    files = [(-1, "a/main.c", WRAPPED["GPL-3.0"]), (-2, "b/LICENSE", WRAPPED["MIT"]), (-3, "b/c/x", "code"),
+             (-4, "c/x.py", "x = 1\n" * 30 + WRAPPED["MPL-2.0"]), (-5, None, WRAPPED["MIT"]), (None, "d/x", WRAPPED["GPL-3.0"])]
+    df = prose.union(spark.createDataFrame(files, "doc_id long, path string, text string"))
+    got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    assert {k: got[k].own_license for k in (-1, -2, -3, -4, -5, None)} == {
+        -1: "GPL-3.0", -2: "MIT", -3: None, -4: "MPL-2.0", -5: "MIT", None: "GPL-3.0"}
+    assert (got[-3].license, got[-3].inherited_from) == ("MIT", "b") and got[-4].own_line == 30
+
+
 # ------------------------------------------------------------------------------- archives
 
 def _pages(spark):
