@@ -63,6 +63,15 @@ def template_weights(counted: DataFrame, n_files: int, templates=TEMPLATES) -> D
         "template", "license", "term", "tf", "idf", "w", "tnorm")
 
 
+def line_weights(lines: DataFrame, rows: DataFrame, n_files: int) -> DataFrame:
+    """``(term, df, line_idf)`` of the terms of ``lines``, counted over all files."""
+    needed = lines.select(F.explode(F.array_distinct("terms")).alias("term")).distinct()
+    counted = (rows.select(F.explode(F.array_distinct(terms(F.col("_text")))).alias("term"))
+               .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return (counted.join(needed, "term", "left_semi")
+            .withColumn("line_idf", F.log((n_files + 1) / (F.col("df") + 1)) + 1))
+
+
 def directory(path: Column) -> Column:
     """The path without its last part ('' at the top)."""
     return F.regexp_replace(path, r"/?[^/]*$", "")
@@ -81,10 +90,11 @@ def file_lines(rows: DataFrame, cues: Column, widest: int) -> DataFrame:
     file, that lie within ``widest`` terms of a line with a cue, or in a licence file with one.
     ``whole`` marks the first and last line of a licence file (1 and 2, 3 if there is one line)."""
     near = rows.where(F.arrays_overlap(terms(F.col("_text")), cues))
+    near = near.dropDuplicates(["_k"])
     lines = (near.select("_k", "named", F.posexplode(F.split("_text", "\n")).alias("line", "content"))
              .withColumn("terms", terms(F.col("content"))).where(F.size("terms") > 0)
              .select("_k", "named", "line", "terms", F.size("terms").cast("long").alias("n"),
-                     F.arrays_overlap("terms", cues).alias("cue")).distinct())
+                     F.arrays_overlap("terms", cues).alias("cue")))
     order = Window.partitionBy("_k").orderBy("line")
     upto, rest = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
     lines = lines.withColumn("at", F.sum("n").over(upto) - F.col("n"))
@@ -98,7 +108,8 @@ def file_lines(rows: DataFrame, cues: Column, widest: int) -> DataFrame:
     return lines.where(F.col("named") | close).select("_k", "line", "at", "n", "whole", "terms")
 
 
-def matching_windows(lines: DataFrame, weights: DataFrame, idf: DataFrame, threshold: float) -> DataFrame:
+def matching_windows(lines: DataFrame, weights: DataFrame, idf: DataFrame, n_files: int,
+                     threshold: float) -> DataFrame:
     """``(_k, line, last, license, score)``: runs of lines, from ``line`` to ``last``, whose cosine
     to a template is ``threshold`` or more.
 
@@ -108,7 +119,13 @@ def matching_windows(lines: DataFrame, weights: DataFrame, idf: DataFrame, thres
     does not, the run scores more."""
     tf = (lines.select("_k", "line", F.explode("terms").alias("term"))
           .groupBy("_k", "line", "term").agg(F.count(F.lit(1)).alias("tf")))
-    tf = checkpoint(tf.join(idf, "term", "left").withColumn("lw", F.col("tf") * F.coalesce("line_idf", F.lit(1.0))))
+    # Terms of a hundredth of the files are few, however many files there are.
+    often = F.col("df") * 100 >= n_files
+    common = tf.join(F.broadcast(idf.where(often).select("term", "line_idf")), "term", "left")
+    rare = (common.where(F.col("line_idf").isNull()).drop("line_idf")
+            .join(idf.where(~often).select("term", "line_idf"), "term"))
+    tf = common.where(F.col("line_idf").isNotNull()).unionByName(rare)
+    tf = checkpoint(tf.withColumn("lw", F.col("tf") * F.col("line_idf")))
     parts = F.broadcast(weights.select("template", "license", "term", "w", "tnorm", "width"))
     # The terms that a run shares with a template must hold threshold ** 2 of its squared norm.
     covered = (tf.select("_k", "term").distinct().join(parts, "term")
@@ -161,7 +178,7 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     """``(id_col, path, own_license, own_score, own_line, license, inherited_from)`` per file.
 
     Headers: every line, and every run of lines, of every file is compared with every template by
-    the cosine of their TF-IDF vectors; lines without terms (blank, or comment marks alone) do not
+    the cosine of their TF-IDF vectors, by document frequencies over all files; lines without terms (blank, or comment marks alone) do not
     count.  A run holds at most 1 / threshold ** 2 times as many terms as the template: with more,
     of equal weight, it stays below the threshold.  The best template at ``threshold`` or more is
     the file's own licence (ties: larger score, earlier line, shorter run, licence name), and
@@ -175,7 +192,8 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
 
     Only lines near one that holds a heavy term go on: per template, the lightest terms whose
     weights together stay under ``threshold`` of its norm cannot reach the threshold alone, so a
-    run with none of the others is below it.  Tables that are broadcast have a row per template term.
+    run with none of the others is below it.  Tables that are broadcast have a row per template term,
+    or per term that a hundredth of the files hold.
 
     Null paths are the top directory, null and empty texts have no lines that match, repeated rows
     are each reported (they share what is found for their id and path), and an empty table gives an
@@ -199,11 +217,12 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     cues = F.array(*[F.lit(r["term"]) for r in heavy.collect()])  # terms of the templates
     widest = weights.agg(F.max("width")).first()[0] or 0
     # Texts that share an id and path stay apart.
-    key = F.sha1(F.concat_ws("\0", F.col("_id").isNull().cast("string"), F.col("_id").cast("string"), "path", "_text"))
+    key = F.unhex(F.sha1(F.concat_ws("\0", F.col("_id").isNull().cast("string"),
+                                     F.col("_id").cast("string"), "path", "_text")))
     keyed = rows.select("_id", "path", "_text", key.alias("_k"), named.alias("named"))
     lines = checkpoint(file_lines(keyed, cues, widest))
-    idf = F.broadcast(weights.groupBy("term").agg(F.max("idf").alias("line_idf")))
-    matches = checkpoint(matching_windows(lines, weights, idf, threshold))
+    idf = checkpoint(line_weights(lines, rows, n_files))
+    matches = checkpoint(matching_windows(lines, weights, idf, n_files, threshold))
     # A window counts towards the file's share if none that it overlaps scores more.
     ranked = F.struct(F.col("score").alias("s"), (F.col("line") - F.col("last")).alias("short"), -F.col("line"))
     windows = matches.groupBy("_k", "line", "last").agg(F.max("score").alias("score")).withColumn("rank", ranked)

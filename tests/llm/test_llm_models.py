@@ -164,6 +164,16 @@ def test_wrapped_notices(spark):
     assert (got[-3].license, got[-3].inherited_from) == ("MIT", "b") and got[-4].own_line == 30
 
 
+def test_rare_words_are_no_notice(spark):
+    prose = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", F.lit("p/x").alias("path"), "text")
+    words = " ".join(f"qx{chr(97 + i)}zw" for i in range(20))
+    files = [(-1, "a/x.txt", f"{words} released yesterday under the MIT license {words[::-1]}"),
+             (-2, "b/x.txt", "It is released under the MIT License.")]
+    df = prose.union(spark.createDataFrame(files, "doc_id long, path string, text string"))
+    got = {r.doc_id: r.own_license for r in licenses.scan_licenses(df).where("doc_id < 0").collect()}
+    assert got == {-1: None, -2: "MIT"}
+
+
 # ------------------------------------------------------------------------------- archives
 
 def _pages(spark):
