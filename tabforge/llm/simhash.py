@@ -164,7 +164,7 @@ def fingerprint_links(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCK
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                    text_col: str = "text", max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """``(id_col, fingerprint, component_id, text_hash)`` per row of ``docs``.
+    """``(id_col, fingerprint, component_id, text_hash, root)`` per row of ``docs``.
 
     ``fingerprint``: 16 lower-case hex digits of the 64-bit SimHash over ``shingle``-word
     shingles.  Fingerprints link at ``radius`` or fewer differing bits; ``component_id`` is the
@@ -172,7 +172,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: s
 
     Equal fingerprints are one node, so a group of copies costs one row after a partial
     aggregation.  Candidates come from the covering masks, each compared in full, so no pair
-    within the radius is missed.  ``text_hash`` tells rows with a repeated id apart.
+    within the radius is missed.  ``text_hash`` tells rows with a repeated id apart, and
+    ``root``, a fingerprint of the component, components that share their smallest id.
 
     Texts without words (null included) have fingerprint zero and link like any other.  Null ids
     never become a component's id unless it holds nothing else (then it is null).  An empty table
@@ -187,10 +188,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: s
               .withColumn("root", F.coalesce("root", "fp")))
     rooted = checkpoint(rooted)
     first = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(first, "root").select("fp", "component_id")
+    named = rooted.select("fp", "root").join(first, "root").select("fp", "component_id", "root")
     return (rows.join(named, "fp")
             .select(F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0"))
-                    .alias("fingerprint"), "component_id", "text_hash"))
+                    .alias("fingerprint"), "component_id", "text_hash", "root"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
@@ -198,9 +199,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
     """``docs`` with one document of each group of near duplicates: the one with the smallest id
     (null ids last, then the smallest text hash); rows equal in id and text count as one."""
     groups = simhash_groups(docs, shingle, radius, id_col, text_col)
-    # A group without any id is told apart by its fingerprint.
-    name = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    best = (groups.groupBy("component_id", name.alias("_name"))
+    best = (groups.groupBy("root")
             .agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"),
                                 F.col("text_hash").alias("th"))).alias("_best"))
             .select(F.col("_best.id").alias("_id"), F.col("_best.th").alias("_th")))

@@ -221,6 +221,17 @@ def test_fingerprints_and_groups(spark):
     assert simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_groups_that_share_an_id_or_have_none_stay_apart(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)) for _ in range(3))
+    own = simhash.simhash(c.encode(), 3)
+    near = next(t for i in range(999) if 1 <= (simhash.simhash((t := f"{c} z{i}").encode(), 3) ^ own).bit_count() <= 3)
+    rows = [(5, a), (5, b), (9, b), (None, c), (None, near)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept if r.doc_id == 5) == sorted([a, b])
+    assert len(kept) == 3 and [r.text in (c, near) for r in kept if r.doc_id is None] == [True]
+
+
 def test_masks_cover_every_pair():
     masks, rng = simhash.covering_masks(3), random.Random(1)
     for _ in range(3000):
