@@ -142,3 +142,42 @@ WITH d AS (
 )
 SELECT *, NOT base_failed AND NOT (100 * lost_chars > 50 * word_chars) AS kept FROM c
 """
+
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), o AS (
+  SELECT lang, source, row, translate(unnest(words), {UPPER}) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), l AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL
+), t AS (
+  SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(t.total, 0) + 2 * l.v))::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (k.n + 2) // (l.total + 2 * l.v))::BIGINT AS q
+  FROM g JOIN kept k USING (lang) JOIN l USING (lang) LEFT JOIN t USING (lang, source)
+  LEFT JOIN c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM part)
+WHERE part = 'pair' OR rank <= 10
+"""

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import (ann, licenses, line_dedup, mixing, oracles, packing, quality_cnn,
-                          quality_rules, simhash, suffix_dedup, warc)
+from tabforge.llm import (ann, divergence, licenses, line_dedup, minhash, mixing, oracles, packing,
+                          quality_cnn, quality_rules, simhash, suffix_dedup, warc, whitening)
 from tabforge.session import scratch_path
 from tabforge.sources.tables import read_table
 
@@ -84,10 +85,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_lines_removed", "lost_chars")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return whitening.whiten(vectors, components=8).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["lang", "source", "text"])
+    return divergence.divergence(docs, min_docs=10, top=10)
+
+
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return minhash.minhash_groups(docs, similarity=Fraction(85, 100), shingle=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_learned_partitions, op2_mix_sources, op3_line_dedup, op4_suffix_dedup, op5_quality_cnn,
-        op6_simhash, op7_license_scan, op8_warc_salvage, op9_pack, op10_quality_rules)
+        op6_simhash, op7_license_scan, op8_warc_salvage, op9_pack, op10_quality_rules, op11_whitening,
+        op12_source_divergence, op13_bbit_minhash)
 }
 
 #: The others rest on XXH64, a fitted model or an online packing, which SQL doesn't express; their
@@ -97,5 +114,6 @@ ORACLE: dict[str, str] = {
     "op3_line_dedup": oracles.LINES,
     "op4_suffix_dedup": oracles.SUBSTRINGS,
     "op8_warc_salvage": oracles.WARC,
+    "op12_source_divergence": oracles.DIVERGENCE,
     "op10_quality_rules": oracles.quality_rules(quality_rules.BOILERPLATE),
 }
