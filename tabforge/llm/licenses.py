@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tabforge.session import checkpoint
 
-TERM = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
+#: Possessive, so that a long chain of terms is matched without recursion.
+TERM = r"[\p{L}\p{N}]++(?:[.+-][\p{L}\p{N}]++)*+"
 
 #: Notices by which files state their licence, by SPDX identifier.
 TEMPLATES = (
