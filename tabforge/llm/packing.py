@@ -138,6 +138,17 @@ class Packer:
         return done
 
 
+def _encode(encoder, path: str, text: str) -> list[int]:
+    """Ids of a text.  White space of a length that exhausts the encoder's pattern matcher goes to
+    ``tokenizers``, which gives the same ids more slowly."""
+    try:
+        return encoder.encode(text, allowed_special="all")
+    except ValueError:
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def _pack_task(path: str, window: int, end_id: int, max_open: int, id_type):
     def run(batches):
         encoder, packer = load_encoder(path), Packer(window, max_open)
@@ -166,7 +177,7 @@ def _pack_task(path: str, window: int, end_id: int, max_open: int, id_type):
 
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                found = encoder.encode(raw.decode(), allowed_special="all")
+                found = _encode(encoder, path, raw.decode())
                 found.append(end_id)
                 ids = np.array(found, "<u4")
                 for start in range(0, len(ids), window):
