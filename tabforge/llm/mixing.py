@@ -83,12 +83,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
         .withColumn("rest", F.floor("target").cast("long") - F.col("passes") * F.col("source_size"))
         .withColumn("prefix", F.lit(0).cast("long")))
     state = thresholds(sized, state)
-    plan = state.select(F.col("source").alias("_source"), "source_size", "target", "passes", "below")
+    plan = state.select(F.col("source").alias("_source"), "source_size", "target",
+                        F.col("passes").alias("_passes"), F.col("below").alias("_below"))
     out = docs.withColumns({"size": n_words(F.col(text_col)), "_h": mix_hash(F.col(id_col))})
     out = out.join(plan, out[source_col].eqNullSafe(plan["_source"]), "left")
-    once = (F.col("_h") < F.col("below")).cast("long")
-    return (out.withColumn("taken", F.col("size") * (F.col("passes") + once))
-            .drop("_h", "_source", "passes", "below"))
+    once = (F.col("_h") < F.col("_below")).cast("long")
+    return (out.withColumn("taken", F.col("size") * (F.col("_passes") + once))
+            .drop("_h", "_source", "_passes", "_below"))
 
 
 def thresholds(sized: DataFrame, state: DataFrame) -> DataFrame:
