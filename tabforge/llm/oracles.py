@@ -120,12 +120,12 @@ WITH d AS (
 ), m AS (
   SELECT doc_id, line, regexp_matches(line, '{WORD}') AS worded,
          length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
-         length(line) - length(replace(line, ' ', '')) + 1 AS n FROM l
+         len(regexp_extract_all(line, '{WORD}')) AS n FROM l
 ), v AS (
   SELECT *, NOT worded OR (regexp_matches(line, '[.!?…。！？]')
          AND len(regexp_extract_all(line, '[|»›•·>]')) * 4 < n
          AND len(regexp_extract_all(line, '[#*$%&|<>!]')) * 2 < n
-         AND NOT (length(line) <= 300 AND regexp_matches(lower(line), '{"|".join(boilerplate)}'))) AS good
+         AND NOT regexp_matches(lower(line), '{"|".join(boilerplate)}')) AS good
   FROM m
 ), a AS (
   SELECT doc_id, sum(chars)::BIGINT AS word_chars, count(*) FILTER (NOT good) AS n_lines_removed,

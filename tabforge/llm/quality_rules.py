@@ -75,13 +75,12 @@ def line_passes(line: Column) -> Column:
 
     Punctuation: it holds a sentence end, and symbols and exclamation marks are fewer than half of
     its words.  Navigation: menu marks are fewer than a quarter of its words.  Boilerplate: no
-    phrase of page furniture in a line of at most 300 characters.  Words are counted here as gaps
-    between words, plus one; the cheap tests come first.
+    phrase of page furniture, however long the line.
     """
-    words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    words = F.regexp_count(line, F.lit(WORD))
     marked = F.regexp_count(line, F.lit(MENU_MARK)) * 4 >= words
     shouted = F.regexp_count(line, F.lit(r"[#*$%&|<>!]")) * 2 >= words
-    furniture = (F.length(line) <= 300) & F.lower(line).rlike("|".join(BOILERPLATE))
+    furniture = F.lower(line).rlike("|".join(BOILERPLATE))
     return ~line.rlike(WORD) | (line.rlike(SENTENCE_END) & ~marked & ~shouted & ~furniture)
 
 
@@ -99,10 +98,10 @@ def apply_rules(docs: DataFrame, window: int = 8, min_words: int = 20, max_repea
     earlier one counts in ``n_dup_lines`` if it holds a word.  Windows are told apart by a 64-bit
     hash over their words' hashes.  Repeated rows are judged alike.
     """
-    base = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    lines = F.split(F.col("_text"), "\n")
+    base = docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    lines = F.split(F.col("__text"), "\n")
     base = base.withColumns({
-        "_words": word_counts(F.col("_text"), window),
+        "_words": word_counts(F.col("__text"), window),
         "_bad": F.filter(lines, lambda x: ~line_passes(x)),
         "cleaned": F.array_join(F.filter(lines, line_passes), "\n"),
         "_worded": F.filter(lines, lambda x: x.rlike(WORD)),
@@ -110,8 +109,8 @@ def apply_rules(docs: DataFrame, window: int = 8, min_words: int = 20, max_repea
     chars = lambda c: F.length(F.regexp_replace(c, GAP, "")).cast("long")
     out = base.withColumns({
         "n_words": F.col("_words.n").cast("long"),
-        "word_chars": chars("_text"),
-        "n_symbols": F.coalesce(F.regexp_count("_text", F.lit(SYMBOL)), F.lit(0)).cast("long"),
+        "word_chars": chars("__text"),
+        "n_symbols": F.coalesce(F.regexp_count("__text", F.lit(SYMBOL)), F.lit(0)).cast("long"),
         "n_dup_lines": (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long"),
         "n_repeat_words": F.col("_words.repeats").cast("long"),
         "n_lines_removed": F.size("_bad").cast("long"),
@@ -121,4 +120,4 @@ def apply_rules(docs: DataFrame, window: int = 8, min_words: int = 20, max_repea
                          | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct))
     lost = F.col("lost_chars") * 100 > F.col("word_chars") * max_lost_pct
     return out.withColumn("kept", ~F.col("base_failed") & ~lost).drop(
-"_text", "_words", "_bad", "_worded")
+"__text", "_words", "_bad", "_worded")
