@@ -6,11 +6,11 @@
 3. Classes that share a band key are a bucket.  Within it packed signatures are compared by bit
    counts: m matches of k minima estimate the similarity (m / k - c) / (1 - c), with c = 2^-BITS
    for the collisions of unequal minima.  Pairs far enough below the wanted similarity go.
-4. The others are confirmed on the full shingle sets, not all at once: each round a class proposes
-   its few best partners outside its component, confirmed links merge components, and the next
-   round looks only at buckets that still hold several components, with four times the partners.
-   It ends when a round left nothing unproposed, so every pair has been confirmed, refused or
-   joined by other links, and a group of n near copies costs about n confirmations.
+   Of the others a spanning forest leaves the bucket, so n near copies cost n rows, not n^2.
+4. The forests' components are the groups within which links are confirmed on the full shingle
+   sets, read from one text of each class.  Again only a spanning forest of the links comes out;
+   its components are the result.  Groups too large for a task are cut into blocks that meet in
+   pairs.
 """
 
 from __future__ import annotations
@@ -32,10 +32,8 @@ BITS = 4
 SEED = 42
 #: Shingles whose minima are taken at once; signatures compared at once.
 CHUNK, BLOCK = 4096, 1 << 20
-#: Classes outside a bucket's largest component that one task compares with the bucket.
-SLICE = 8192
-#: Partners a class proposes in the first round.
-FIRST = 2
+#: Classes and bytes of shingle sets up to which a group is gathered in one task.
+GROUP_ROWS, GROUP_BYTES = 8192, 1 << 26
 _LOW = np.uint64(0x1111111111111111)
 
 
@@ -142,85 +140,93 @@ def _sign_task(shingle: int, minima: int, rows: int):
 
 # ------------------------------------------------------------------------------- candidates
 
-def _best_partners(least: int, minima: int, part: Fraction, top: int):
-    """Per query row of a bucket its ``top`` best partners in other components, and whether more
-    would pass."""
-
-    def bucket(node, comp, size, sig, query, out):
-        rows = np.flatnonzero(query)
-        step = max(1, BLOCK // max(1, len(node)))
-        for lo in range(0, len(rows), step):
-            own = rows[lo:lo + step]
-            equal = matches(sig[own, None, :], sig[None, :, :], minima)
-            small = np.minimum(size[own, None], size[None, :])
-            large = np.maximum(size[own, None], size[None, :])
-            ok = ((equal >= least) & (comp[own, None] != comp[None, :])
-                  & (small * part.denominator >= large * part.numerator))
-            equal = np.where(ok, equal, -1)
-            n = ok.sum(axis=1)
-            keep = min(top, len(node))
-            best = np.argpartition(-equal, keep - 1, axis=1)[:, :keep] if keep < len(node) else \
-                np.broadcast_to(np.arange(len(node)), equal.shape)
-            hit = np.take_along_axis(ok, best, axis=1)
-            at, col = np.nonzero(hit)
-            a, b = node[own[at]], node[best[at, col]]
-            out.append((np.minimum(a, b), np.maximum(a, b), (n > top)[at]))
+def _alike(own, other, least: int, minima: int, part: Fraction) -> np.ndarray:
+    """Which pairs of ``own`` and ``other`` (sizes, signatures) pass: enough equal minima, and sizes
+    that allow the similarity at all."""
+    equal = matches(own[1][:, None, :], other[1][None, :, :], minima)
+    small, large = np.minimum(own[0][:, None], other[0][None, :]), np.maximum(own[0][:, None], other[0][None, :])
+    return (equal >= least) & (small * part.denominator >= large * part.numerator)
+
+
+def spanning_candidates(node, size, sig, alike) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that pass ``alike``, found breadth first."""
+    links, rest = [], np.arange(len(node))
+    while len(rest) > 1:
+        front, rest = rest[:1], rest[1:]
+        while len(front) and len(rest):
+            found = np.full(len(rest), -1)
+            step = max(1, BLOCK // len(rest))
+            for lo in range(0, len(front), step):
+                own = front[lo:lo + step]
+                open_ = np.flatnonzero(found < 0)
+                near = alike((size[own], sig[own]), (size[rest[open_]], sig[rest[open_]]))
+                hit = near.any(axis=0)
+                found[open_[hit]] = own[near[:, hit].argmax(axis=0)]
+            hit = found >= 0
+            links += zip(node[found[hit]].tolist(), node[rest[hit]].tolist(), strict=True)
+            front, rest = rest[hit], rest[~hit]
+    return links
+
+
+def _grouped(batches, keys: int):
+    """Rows of each run of equal leading columns, as lists of column slices."""
+    last, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = [batch.column(i).to_numpy() for i in range(keys)]
+        edge = np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], axis=0)) + 1
+        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
+            here = tuple(n[lo] for n in names)
+            if here != last:
+                if held:
+                    yield held
+                last, held = here, []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield held
+
+
+def _signatures(parts, at: int) -> np.ndarray:
+    raw = b"".join(v.as_buffer() for p in parts for v in p.column(at))
+    return np.frombuffer(raw, np.uint64).reshape(sum(p.num_rows for p in parts), -1)
+
+
+def _column(parts, at: int) -> np.ndarray:
+    return np.concatenate([p.column(at).to_numpy(zero_copy_only=False) for p in parts])
+
+
+def _link_batch(links) -> pa.RecordBatch:
+    a = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+
+
+def _bucket_task(least: int, minima: int, part: Fraction):
+    def alike(own, other):
+        return _alike(own, other, least, minima, part)
 
     def run(batches):
-        last, held = None, []
-
-        def finish():
-            out = []
-            if held:
-                node, comp, size, query = (np.concatenate([h[i] for h in held]) for i in range(4))
-                if query.any():
-                    bucket(node, comp, size, np.concatenate([h[4] for h in held]), query, out)
-            if out:
-                a, b, more = (np.concatenate([o[i] for o in out]) for i in range(3))
-                return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more)],
-                                                  names=["a", "b", "more"])
-            return None
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            band, key, cut, node, comp, size = (batch.column(i).to_numpy() for i in range(6))
-            query = batch.column(6).to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            edge = np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1]) | (cut[1:] != cut[:-1])) + 1
-            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(band)], strict=True):
-                here = (band[lo], key[lo], cut[lo])
-                if here != last:
-                    if (done := finish()) is not None:
-                        yield done
-                    last, held = here, []
-                held.append((node[lo:hi], comp[lo:hi], size[lo:hi], query[lo:hi], sig[lo:hi]))
-        if (done := finish()) is not None:
-            yield done
+        for held in _grouped(batches, 2):
+            links = spanning_candidates(_column(held, 2), _column(held, 3), _signatures(held, 4), alike)
+            if links:
+                yield _link_batch(links)
 
     return run
 
 
-def _candidates(members: DataFrame, comps: DataFrame, signs: DataFrame, task, slice_rows: int) -> DataFrame:
-    """Proposed pairs ``(a, b, more)`` of one round, distinct."""
-    placed = (members.join(comps, "node", "left")
-              .withColumn("comp", F.coalesce("root", "node")).drop("root"))
-    sizes = placed.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    live = (sizes.groupBy("band", "key")
-            .agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("all"),
-                 F.max(F.struct("n", "comp")).alias("top"))
-            .where(F.col("comps") > 1)
-            .select("band", "key", F.col("top.comp").alias("main"),
-                    F.ceil((F.col("all") - F.col("top.n")) / slice_rows).cast("int").alias("cuts")))
-    # all pairs across components have an end outside the largest one; those ends are the queries
-    dealt = (placed.join(live, ["band", "key"]).join(signs, "node")
-             .withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-             .withColumn("query", (F.col("comp") != F.col("main"))
-                         & (F.pmod(F.xxhash64("node"), F.col("cuts")) == F.col("cut"))))
-    return (dealt.select("band", "key", "cut", "node", "comp", "n_shingles", "query", "sig")
-            .repartition("band", "key", "cut").sortWithinPartitions("band", "key", "cut")
-            .mapInArrow(task, "a long, b long, more boolean")
-            .groupBy("a", "b").agg(F.max("more").alias("more")))
+def candidate_links(members: DataFrame, signs: DataFrame, task, group_rows: int) -> DataFrame:
+    """Links that join at least the classes that chains of passing pairs join: a spanning forest per
+    bucket.  A bucket of more than ``group_rows`` classes is not gathered but joined whole; what that
+    joins too much is parted again when links are confirmed."""
+    sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+    shared = checkpoint(members.join(sizes.where(F.col("n") > 1), ["band", "key"]))
+    stars = shared.where((F.col("n") > group_rows) & (F.col("node") != F.col("least"))).select(
+        F.col("least").alias("a"), F.col("node").alias("b"))
+    small = (shared.where(F.col("n") <= group_rows).join(signs, "node")
+             .select("band", "key", "node", "n_shingles", "sig")
+             .repartition("band", "key").sortWithinPartitions("band", "key")
+             .mapInArrow(task, "a long, b long"))
+    return small.union(stars).distinct()
 
 
 # ------------------------------------------------------------------------------- confirming
@@ -244,20 +250,64 @@ def _set_task(shingle: int):
     return run
 
 
-def _confirm_task(part: Fraction):
+def confirmed_links(node, size, sig, sets, first: np.ndarray, least: int, minima: int,
+                    part: Fraction) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of a group whose full sets have the similarity.  ``first``
+    marks the rows to compare with all others.  Pairs that links join already are left out."""
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum([len(x) for x in sets])
+    starts = ends - [len(x) for x in sets]
+    label, links = np.arange(len(node)), []
+    flag = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+    for i in np.flatnonzero(first).tolist():
+        other = np.flatnonzero(label != label[i])
+        if not len(other):
+            break
+        other = other[_alike((size[[i]], sig[[i]]), (size[other], sig[other]), least, minima, part)[0]]
+        own = ids[starts[i]:ends[i]]
+        flag[own] = True
+        for lo in range(0, len(other), CHUNK):
+            of = other[lo:lo + CHUNK]
+            n = ends[of] - starts[of]
+            cut = np.cumsum(n) - n
+            both = np.add.reduceat(flag[ids[np.arange(n.sum()) + np.repeat(starts[of] - cut, n)]], cut,
+                                   dtype=np.int64)
+            true = of[both * part.denominator >= (n + len(own) - both) * part.numerator]
+            for j in true.tolist():
+                if label[j] != label[i]:
+                    links.append((int(node[i]), int(node[j])))
+                    label[label == label[j]] = label[i]
+        flag[own] = False
+    return links
+
+
+def _confirm_task(least: int, minima: int, part: Fraction):
     def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both * part.denominator >= (len(x) + len(y) - both) * part.numerator)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
-                                             names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for held in _grouped(batches, 3):
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for p in held for v in p.column(7)]
+            links = confirmed_links(_column(held, 4), _column(held, 5), _signatures(held, 6), sets,
+                                    _column(held, 3), least, minima, part)
+            if links:
+                yield _link_batch(links)
 
     return run
 
 
+def _confirmed(groups: DataFrame, task, group_rows: int, group_bytes: int) -> DataFrame:
+    """Confirmed links of ``groups (comp, node, n_shingles, sig, set)``.  A group beyond the limits is
+    dealt to blocks, each pair of which is a group of its own; the first block's rows are compared
+    with all rows."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / group_rows), F.ceil(F.sum("n_shingles") * 8 / group_bytes))
+    sizes = groups.groupBy("comp").agg(blocks.cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (groups.join(sizes, "comp").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     (F.col("own") <= F.col("other")).alias("first"), "node", "n_shingles", "sig", "set"))
+    return (dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+            .mapInArrow(task, "a long, b long").distinct())
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -275,18 +325,12 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, shingle: int) -
     return _written(found.dropDuplicates(["node"]), "sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, part: Fraction) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    return (pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(_confirm_task(part), "a long, b long"))
-
-
 # --------------------------------------------------------------------------------- operator
 
 def minhash_groups(docs: DataFrame, similarity: Fraction | float | str = Fraction(4, 5), shingle: int = 5,
-                   minima: int = 128, rows: int = 4, deviations: float = 6.0, id_col: str = "doc_id",
-                   text_col: str = "text", first: int = FIRST, slice_rows: int = SLICE) -> DataFrame:
+                   minima: int = 128, rows: int = 4, deviations: float = 5.0, id_col: str = "doc_id",
+                   text_col: str = "text", group_rows: int = GROUP_ROWS,
+                   group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` per row of ``docs``.
 
     A row's set are its distinct ``shingle``-word shingles (A-Z lower-cased; fewer words are one
@@ -296,9 +340,9 @@ def minhash_groups(docs: DataFrame, similarity: Fraction | float | str = Fractio
 
     ``minima`` / ``rows`` bands miss a pair of similarity s with probability
     (1 - s^rows)^(minima / rows), 5e-11 at s = 0.85 and 4e-8 at 0.8; a pair is refused unconfirmed
-    ``deviations`` standard deviations below what its estimate should be.  No bucket, partner or
-    candidate is capped: a round's limit on partners is lifted in the next.  Buckets are split by
-    ``slice_rows`` classes outside their largest component.
+    ``deviations`` standard deviations below what its estimate should be (3e-7).  No bucket, partner
+    or candidate is capped.  Groups of more than ``group_rows`` classes or ``group_bytes`` bytes of
+    shingle sets are split; a task holds at most two blocks of that size, or one class's set.
 
     Null and empty texts and those without words have an empty set and link with nothing, not even
     each other: their component is their own id.  Rows with equal words are always linked.  Rows that
@@ -315,7 +359,7 @@ def minhash_groups(docs: DataFrame, similarity: Fraction | float | str = Fractio
         .agg(F.min("id").alias("first"), F.any_value("n_shingles").alias("n_shingles"),
              F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id()))
-    roots = _components(texts, classes, part, shingle, minima, deviations, first, slice_rows)
+    roots = _components(texts, classes, part, shingle, minima, deviations, group_rows, group_bytes)
     named = classes.select("hi", "lo", "node", "first").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -327,27 +371,14 @@ def minhash_groups(docs: DataFrame, similarity: Fraction | float | str = Fractio
 
 
 def _components(texts: DataFrame, classes: DataFrame, part: Fraction, shingle: int, minima: int,
-                deviations: float, first: int, slice_rows: int) -> DataFrame:
+                deviations: float, group_rows: int, group_bytes: int) -> DataFrame:
     """``(node, root)`` of the classes with a confirmed link."""
-    spark = texts.sparkSession
-    exploded = classes.select("node", "n_shingles", F.posexplode("keys").alias("band", "key"))
-    shared = exploded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = checkpoint(exploded.join(shared.select("band", "key"), ["band", "key"], "left_semi"))
+    members = classes.select("node", "n_shingles", F.posexplode("keys").alias("band", "key"))
     signs = classes.select("node", "sig")
     least = least_matches(float(part), minima, deviations)
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
-    sets, top = None, first
-    while True:
-        task = _best_partners(least, minima, part, top)
-        pairs = checkpoint(_candidates(members, roots, signs, task, slice_rows))
-        if pairs.isEmpty():
-            return roots
-        if sets is None:
-            nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-            sets = _sets(texts, classes, nodes, shingle)
-        links = checkpoint(links.union(_confirmed(pairs, sets, part)))
-        roots = checkpoint(connected_components(links))
-        if not pairs.agg(F.max("more")).first()[0]:
-            return roots
-        top *= 4
+    loose = candidate_links(members, signs, _bucket_task(least, minima, part), group_rows)
+    comps = checkpoint(connected_components(loose).withColumnRenamed("root", "comp"))
+    groups = (_sets(texts, classes, comps.select("node"), shingle).join(comps, "node")
+              .join(classes.select("node", "n_shingles", "sig"), "node"))
+    links = _confirmed(groups, _confirm_task(least, minima, part), group_rows, group_bytes)
+    return checkpoint(connected_components(links))

@@ -242,7 +242,7 @@ def _variants(seed, groups=6, copies=40, words=120):
     return [(int(i), rows[i][1]) for i in order]
 
 
-@pytest.mark.parametrize("settings", [{}, {"first": 1, "slice_rows": 3}])
+@pytest.mark.parametrize("settings", [{}, {"group_rows": 7}, {"group_bytes": 9000}])
 def test_minhash_against_brute_force(spark, settings):
     rows = _variants(1)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
