@@ -9,8 +9,8 @@ Objectives (``n`` rows, intercept not penalised, data centred per fit):
 
 Cross validation scores each candidate on each validation fold from that
 fold's statistics: ridge by R² (mean over folds, the higher the better), the
-L1 models by mean squared error.  Every fit is a ``d x d`` computation on the
-driver; the rows are read once, by ``gram_stats``.
+L1 models by mean squared error.  The rows are read once, by ``gram_stats``; every fit is
+then a ``d x d`` computation, on the driver or (the paths of the L1 searches) in tasks.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
 from tabforge.models.gram import FoldStats, Stats, gram_stats
+from tabforge.models.screening import cv_errors
 
 
 class NotConverged(UserWarning):
@@ -183,24 +184,9 @@ def ridge_cv(fs: FoldStats, alphas: Sequence[float]) -> tuple[float, list[float]
 
 def enet_cv(fs: FoldStats, alphas: Sequence[float], l1_ratios: Sequence[float] = (1.0,)
             ) -> tuple[float, float, np.ndarray]:
-    """Best (α, ρ) by mean validation MSE over the folds; folds and ratios in one batch."""
-    folds = list(fs.folds)
-    trains = [fs.train(k) for k in folds]
-    cent = [t.centered() for t in trains]
-    probs = [(fi, ri) for fi in range(len(folds)) for ri in range(len(l1_ratios))]
-    g = np.stack([cent[fi][0] for fi, _ in probs])
-    c = np.stack([cent[fi][1] for fi, _ in probs])
-    n = np.array([trains[fi].n for fi, _ in probs])
-    r = np.array([l1_ratios[ri] for _, ri in probs])
-    scores = np.zeros((len(l1_ratios), len(alphas)))
-    w = None
-    # path from the largest α down, each batch warm-started from the previous α
-    for ai in sorted(range(len(alphas)), key=lambda i: -alphas[i]):
-        a = alphas[ai]
-        w = enet_batch(g, c, n * a * r, n * a * (1.0 - r), w0=w)
-        for b, (fi, ri) in enumerate(probs):
-            val = fs.folds[folds[fi]]
-            scores[ri, ai] += _mse(val, w[b], _intercept(trains[fi], w[b])) / len(folds)
+    """Best (α, ρ) by mean validation MSE over the folds; a Spark task per fold and ratio follows its
+    path from the largest α down (see ``screening``)."""
+    scores = cv_errors(fs, alphas, l1_ratios)
     i, j = np.unravel_index(int(np.argmin(scores)), scores.shape)
     return float(alphas[j]), float(l1_ratios[i]), scores
 

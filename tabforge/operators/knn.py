@@ -8,54 +8,40 @@ are skipped).  The value is the ``1/distance``-weighted mean of ``t`` over the
 distance 0 the value is the mean of those; fewer than ``k`` donors use all of
 them; no donor leaves the cell NULL.
 
-Spark plan (exact, no candidate cap):
+Spark plan (no candidate cap):
 
 * **profiles, not rows.**  A query's answer depends only on its block, target
   and feature vector (its *profile*), so queries are grouped by profile and
   answered once.  Donors with the same block, target and feature vector
   (target masked) are at the same distance from every query, so each donor
   profile keeps only its ``k`` smallest-key donors (a bounded array, chosen by
-  a two-level top-k so a hot profile is split across tasks).  Pairs are
-  ``distinct query profiles x distinct donor profiles`` per block, never
-  ``rows x rows``; repeated or discrete data shrinks them by orders of magnitude;
-* query profiles meet donor profiles through an equi-join on
-  ``(block, target, bucket)``: donor profiles are hashed into ``donor_buckets``
-  buckets and query profiles replicated to all of them, so a hot block is
-  spread over many tasks while each pair is still formed exactly once;
-* distances are element arithmetic on the profile arrays (generated code) for
-  narrow matrices and array expressions for wide ones;
-* top-k runs per ``(query profile, bucket)`` and again over the
-  ``buckets * k`` survivors; answers go back to the rows by a join on the
-  profile, and to columns by a pivot over the ``#targets`` values.
+  a two-level top-k so a hot profile is split across tasks);
+* query profiles meet donor profiles cell by cell
+  (:mod:`tabforge.operators.neighbours`): a step holds one cell of donors and a
+  slice of queries, keeps a running top-k and emits at most ``k`` rows a query,
+  so no row per pair is ever made or shuffled.  Boxes around the cells tell
+  which ones a query can leave out; ``method="hash"`` looks in the buckets of
+  random-projection hash tables instead;
+* answers go back to the rows by a join on the profile, and to columns by a
+  pivot over the ``#targets`` values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
+from tabforge.operators.neighbours import CELL_ROWS, SLICE_ROWS, approximate_nearest, exact_nearest
+from tabforge.session import checkpoint
 
-# Above this many features the distance is computed with array functions.
-WIDE_FEATURES = 32
 # Buckets used to split one hot donor profile before keeping its k smallest keys.
 PROFILE_SALT = 16
 
 
-def _distance(d: int) -> tuple[Column, Column]:
-    """(sum of squared differences over co-observed features, their count)."""
-    if d > WIDE_FEATURES:
-        sq = F.zip_with("_qp", "_dp", lambda a, b: (a - b) * (a - b))
-        total = F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
-        return total, F.size(F.filter(sq, lambda v: v.isNotNull()))
-    sq = [(F.col("_qp")[i] - F.col("_dp")[i]) * (F.col("_qp")[i] - F.col("_dp")[i]) for i in range(d)]
-    total = sum((F.coalesce(e, F.lit(0.0)) for e in sq[1:]), F.coalesce(sq[0], F.lit(0.0)))
-    count = sum((e.isNotNull().cast("int") for e in sq[1:]), sq[0].isNotNull().cast("int"))
-    return total, count
-
-
 def _top_k(df: DataFrame, part: list[str], order: list[Column], k: int, salt: Column | None,
            nb: int) -> DataFrame:
     """Rows with the k smallest ``order`` per ``part``; with a salt, first per
@@ -70,17 +56,20 @@ def _top_k(df: DataFrame, part: list[str], order: list[Column], k: int, salt: Co
 def knn_impute(df: DataFrame, key: str, features: Sequence[str],
                targets: Sequence[str] | None = None, k: int = 10,
                block: Sequence[str] | str | None = None,
-               donor_buckets: int | None = None) -> DataFrame:
+               method: str = "exact", tables: int = 8, cell_rows: int = CELL_ROWS,
+               slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Fill NULLs of ``targets`` (default: all ``features``); other cells unchanged.
 
-    ``donor_buckets`` (default: the session's shuffle partitions) is the number of tasks over
-    which one block and target, also an unblocked call's only one, are spread.
+    ``method="hash"`` is the approximate mode: donors are looked up in ``tables``
+    random-projection hash tables over the features without NULLs (queries that
+    find fewer than ``k`` donors there are answered exactly).
     """
+    if method not in ("exact", "hash"):
+        raise ValueError(f"unknown method {method!r}")
     feats = list(features)
     targets = list(targets) if targets else feats
     tidx = [feats.index(t) for t in targets]
     blocks = [block] if isinstance(block, str) else list(block or [])
-    nb = max(1, int(donor_buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
     d = len(feats)
     bcols = [f"_b{i}" for i in range(len(blocks))]
 
@@ -93,8 +82,11 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
     missing = F.filter(F.array(*[F.when(x[i].isNull(), F.lit(j)) for j, i in enumerate(tidx)]),
                        lambda v: v.isNotNull())
     qrows = base.select("_key", *bcols, F.explode(missing).alias("_t"), x.alias("_qp"))
-    qprof = (qrows.select(*bcols, "_t", "_qp").distinct()
-             .select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_bucket")))
+    named = [F.col(c).isNotNull() for c in bcols]
+    inside = reduce(lambda a, b: a & b, named, F.lit(True))
+    group = F.xxhash64(*bcols, "_t")
+    qprof = checkpoint(qrows.where(inside).select(*bcols, "_t", "_qp").distinct()
+                       .withColumn("q", F.monotonically_increasing_id()))
 
     # donor rows, one per observed target; profile = vector with the target masked
     observed = F.filter(F.array(*[
@@ -108,26 +100,24 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
     # keep the k smallest keys of every donor profile (bounded, split when hot)
     dsalt = F.pmod(F.xxhash64("_dkey"), F.lit(PROFILE_SALT))
     dtop = _top_k(drows, bcols + ["_t", "_dp"], [F.col("_dkey")], k, dsalt, PROFILE_SALT)
-    dprof = (dtop.groupBy(*bcols, "_t", "_dp")
-             .agg(F.collect_list(F.struct("_dkey", "_v")).alias("_donors"))
-             .withColumn("_bucket", F.pmod(F.xxhash64("_dp"), F.lit(nb)).cast("int")))
-
-    pairs = qprof.join(dprof, on=bcols + ["_t", "_bucket"], how="inner")
-    total, n_obs = _distance(d)
-    pairs = (pairs.select(*bcols, "_t", "_qp", "_bucket", "_donors",
-                          F.when(n_obs > 0, total / n_obs).alias("_d"))
-             .where(F.col("_d").isNotNull())
-             .select(*bcols, "_t", "_qp", "_bucket", "_d", F.explode("_donors").alias("_dv"))
-             .select(*bcols, "_t", "_qp", "_bucket", "_d", F.col("_dv._dkey").alias("_dkey"),
-                     F.col("_dv._v").alias("_v")))
-    top = _top_k(pairs, bcols + ["_t", "_qp"], [F.col("_d"), F.col("_dkey")], k,
-                 F.col("_bucket"), nb)
-    zero = F.col("_d") == 0
-    answers = top.groupBy(*bcols, "_t", "_qp").agg(
-        F.when(F.max(zero.cast("int")) == 1, F.avg(F.when(zero, F.col("_v"))))
-        .otherwise(F.sum(F.when(~zero, F.col("_v") / F.col("_d")))
-                   / F.sum(F.when(~zero, F.lit(1.0) / F.col("_d"))))
-        .alias("_fill"))
+    dprof = checkpoint(dtop.where(inside).groupBy(*bcols, "_t", "_dp")
+                       .agg(F.collect_list(F.struct(F.col("_dkey").alias("key"), F.col("_v").alias("v")))
+                            .alias("donors"))
+                       .select(group.alias("g"), F.col("_dp").alias("x"), "donors"))
+    queries = qprof.select("q", group.alias("g"), F.col("_qp").alias("x"))
+    key_type = df.schema[key].dataType
+    if method == "hash":
+        gaps = base.agg(*[F.max(x[i].isNull().cast("int")).alias(str(i)) for i in range(d)]).first()
+        whole = [i for i in range(d) if gaps[str(i)] == 0 and i not in tidx]
+        found = approximate_nearest(queries, dprof, d, k, key_type, whole, tables,
+                                    cell_rows=cell_rows, slice_rows=slice_rows)
+    else:
+        found = exact_nearest(queries, dprof, d, k, key_type, cell_rows, slice_rows)
+    total = lambda rows, value: F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + value(r))
+    zero, near = F.filter("best", lambda r: r["d"] == 0), F.col("best")
+    fill = (F.when(F.size(zero) > 0, total(zero, lambda r: r["v"]) / F.size(zero))
+            .otherwise(total(near, lambda r: r["v"] / r["d"]) / total(near, lambda r: F.lit(1.0) / r["d"])))
+    answers = found.where(F.size("best") > 0).select("q", fill.alias("_fill")).join(qprof, "q").drop("q")
 
     filled = qrows.join(answers, on=bcols + ["_t", "_qp"], how="inner").select("_key", "_t", "_fill")
     wide = filled.groupBy("_key").pivot("_t", list(range(len(targets)))).agg(F.first("_fill"))

@@ -25,7 +25,7 @@ def profile(df: DataFrame, column: str) -> DataFrame:
     """One row: distinct values (NULL counted as a value), NULLs, rows."""
     c = qcol(column)
     return df.agg(
-        (F.count_distinct(c) + F.max(c.isNull().cast("int"))).cast("bigint").alias("n_values"),
+        (F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).cast("bigint").alias("n_values"),
         F.count_if(c.isNull()).cast("bigint").alias("n_null"),
         F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 

@@ -123,9 +123,10 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
         raise ValueError(f"unknown method {method!r}")
     # one row per distinct value; cut the lineage before the λ passes
     table = checkpoint(table)
-    low = [r["feature"] for r in table.groupBy("feature").agg(F.min("x").alias("x"))
-           .where(F.col("x") <= 0).collect()]
-    if low:
+    ends = table.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    if same := sorted(r["feature"] for r in ends if r["lo"] == r["hi"]):
+        raise ValueError(f"constant columns have no best lambda: {same}")
+    if low := [r["feature"] for r in ends if r["lo"] <= 0]:
         raise ValueError(f"values at or below {-shift} have no Box-Cox transform: {sorted(low)}")
     # per-column constants, λ-independent: Σz, Σz², Σ cnt·log x, n, a centring point
     consts = {r["feature"]: r for r in table.groupBy("feature").agg(
@@ -142,7 +143,9 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
         cand = {c: np.linspace(centers[c] - half[c], centers[c] + half[c], grid) for c in cols}
         vals = _grid_pass(table, cand, consts, method)
         for c in cols:
-            k = int(np.nanargmax(vals[c])) if np.isfinite(vals[c]).any() else grid // 2
+            if not np.isfinite(vals[c]).any():
+                raise ValueError(f"no lambda has a score: {c}")
+            k = int(np.nanargmax(vals[c]))
             best[c] = float(cand[c][k])
             score[c] = float(vals[c][k])
         # while some best point lies on its grid's edge, look on around it, twice as wide
@@ -171,15 +174,22 @@ def _grid_pass(table: DataFrame, cand: dict[str, np.ndarray], consts, method) ->
     feats = list(cand)
     g = len(next(iter(cand.values())))
     spark = table.sparkSession
-    def bc(x: float, lam: float) -> float:
-        return float(np.log(x)) if abs(lam) < 1e-12 else float((x ** lam - 1.0) / lam)
+    # values count relative to their geometric mean, in logarithms: x^lam = gm^lam u^lam, so
+    # correlations stay, a variance gains a known factor, and large x or lam don't overflow
+    lgm = {f: float(consts[f]["slog"]) / float(consts[f]["n"]) for f in feats}
+
+    def centre(f: str, lam: float) -> float:
+        t = np.log(float(consts[f]["xbar"])) - lgm[f]
+        value = t if abs(lam) < 1e-12 else float(np.expm1(min(lam * t, 700.0)) / lam)
+        return float(value)
     # the centring term is per candidate, not per row: computed here once
     cands = spark.createDataFrame(
-        [(f, k, float(cand[f][k]), bc(float(consts[f]["xbar"]), float(cand[f][k])))
+        [(f, k, float(cand[f][k]), lgm[f], centre(f, float(cand[f][k])))
          for f in feats for k in range(g)],
-        "feature string, k int, lam double, ybar double")
+        "feature string, k int, lam double, lgm double, ybar double")
     rows_x = table.join(F.broadcast(cands), "feature")
-    y = boxcox_col(F.col("x"), F.col("lam")) - F.col("ybar")
+    t, lam = F.log("x") - F.col("lgm"), F.col("lam")
+    y = F.when(F.abs(lam) < 1e-12, t).otherwise(F.expm1(lam * t) / lam) - F.col("ybar")
     w = F.col("_cnt").cast("double")
     sums = (rows_x.select("feature", "k", (w * y).alias("wy"), (w * y * y).alias("wyy"),
                           (F.col("z") * y).alias("zy"))
@@ -197,14 +207,14 @@ def _grid_pass(table: DataFrame, cand: dict[str, np.ndarray], consts, method) ->
             sy, syy = r[f"sy{k}"], r[f"syy{k}"]
             var = syy / n - (sy / n) ** 2
             if method == "mle":
-                if var > 0:
-                    vals[k] = (cand[f][k] - 1) * c["slog"] - n / 2 * np.log(var)
+                if 0 < var < np.inf:
+                    vals[k] = (cand[f][k] - 1) * c["slog"] - n / 2 * (2 * cand[f][k] * lgm[f] + np.log(var))
             else:
                 szy, sz = r[f"szy{k}"], c["sz"]
                 szz = c["szz"]
                 cov = szy / n - (sz / n) * (sy / n)
                 varz = szz / n - (sz / n) ** 2
-                if var > 0 and varz > 0:
+                if 0 < var < np.inf and varz > 0:
                     vals[k] = cov / np.sqrt(var * varz)
         out[f] = vals
     return out

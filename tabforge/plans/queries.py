@@ -822,7 +822,7 @@ def q_knn_impute(spark, d):
     p = part_n(spark, d).select("p_partkey", "p_type", F.col("p_size").cast("double").alias("f1"),
                                 F.length("p_name").cast("double").alias("f2"), "p_retailprice")
     out = knn_impute(p, "p_partkey", ["f1", "f2", "p_retailprice"], targets=["p_retailprice"],
-                     k=10, block="p_type", donor_buckets=4)
+                     k=10, block="p_type")
     return out.select("p_partkey", "p_type", r6("p_retailprice").alias("p_retailprice"))
 
 
