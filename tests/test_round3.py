@@ -102,3 +102,62 @@ def test_entry_without_the_optional_subpackage(monkeypatch):
     monkeypatch.setitem(sys.modules, "tabforge.llm.queries", None)   # as if a library were missing
     assert "knn_impute" in entry.queries() and "knn_impute" in entry.oracle_sql()
     assert set(entry.queries()) <= every
+
+
+def _brute_huber(x, y, rounds, depth, rate, min_leaf, min_split, alpha):
+    """The booster by definition: every midpoint of every feature is tried."""
+    total = np.full(len(y), np.median(y))
+    for _ in range(rounds):
+        r = y - total
+        delta = np.quantile(np.abs(r), alpha)
+        g = np.clip(r, -delta, delta)
+        leaves, done = [np.arange(len(y))], []
+        for _ in range(depth):
+            split = []
+            for rows in leaves:
+                best = (0.0, None)
+                for f in range(x.shape[1]):
+                    values = np.unique(x[:, f])
+                    for t in (values[1:] + values[:-1]) / 2:
+                        left = x[rows, f] <= t
+                        a, b = g[rows][left], g[rows][~left]
+                        if min(len(a), len(b)) >= min_leaf and len(rows) >= min_split:
+                            gain = a.sum() ** 2 / len(a) + b.sum() ** 2 / len(b) - g[rows].sum() ** 2 / len(rows)
+                            if gain > best[0] + 1e-9:
+                                best = (gain, left)
+                split += [rows[best[1]], rows[~best[1]]] if best[1] is not None else []
+                done += [rows] if best[1] is None else []
+            leaves = split
+        for rows in done + leaves:
+            med = np.median(r[rows])
+            diff = r[rows] - med
+            total[rows] += rate * (med + np.mean(np.sign(diff) * np.minimum(np.abs(diff), delta)))
+    return total
+
+
+def test_huber_rounds_against_brute_force(spark):
+    from tabforge.models.huber import fit_huber_gbt
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, size=(300, 3)).astype(float)
+    y = x[:, 0] * 3 - np.where(x[:, 1] > 5, 10, 0) + rng.standard_t(2, 300)
+    df = spark.createDataFrame([(i, *map(float, row), float(v)) for i, (row, v) in enumerate(zip(x, y))],
+                               "id int, a double, b double, c double, y double").repartition(3)
+    model = fit_huber_gbt(df, list("abc"), "y", n_trees=3, learning_rate=0.3, max_depth=2, min_leaf=15,
+                          min_split=50, alpha=0.9, feature_subset="all")
+    got = {r.id: r.prediction for r in model.transform(df).collect()}
+    want = _brute_huber(x, y, 3, 2, 0.3, 15, 50, 0.9)
+    assert np.allclose([got[i] for i in range(300)], want, atol=1e-9)
+
+
+def test_huber_bins_of_many_values_and_missing_ones(spark):
+    from tabforge.models.huber import BINS, bin_thresholds, fit_huber_gbt
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=2000)
+    df = spark.createDataFrame([(float(v) if i % 7 else None, 1.0, float(np.sin(v))) for i, v in enumerate(x)],
+                               "a double, b double, y double")
+    cuts = bin_thresholds(df.select(F.array(F.coalesce("a", F.lit(float("nan"))), "b").alias("_x")), 2)
+    assert 200 < len(cuts[0]) < BINS and len(cuts[1]) == 0
+    model = fit_huber_gbt(df, ["a", "b"], "y", n_trees=8, learning_rate=0.5, feature_subset="all")
+    err = model.transform(df).where("a is not null").agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert err < 0.1
