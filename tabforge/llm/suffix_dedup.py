@@ -12,10 +12,15 @@ runs of the same anchor.
 2. Of the others, one run per distinct content is fetched from its text, and the runs of an anchor
    become one text whose suffixes are sorted (:mod:`tabforge.llm.gsaca`).  Equal windows are
    neighbours in that order, and all but the earliest of them are repeats.
-3. Anchors with more than MAX_RUNS distinct runs (a line that a third of all documents hold) are not
-   gathered: their runs are taken apart into windows, which meet by a 128-bit hash in an aggregation
-   that combines before the shuffle.  Tasks that see many runs of an anchor already do so first.
+3. Anchors with more than GROUP_RUNS distinct runs (a line that a third of all documents hold) are
+   divided before that: their runs are cut where the two smallest hashes of a window change, and
+   each pair of hashes is a group of its own.  Pieces with the same bytes are settled as runs are.
+   Groups that still hold more than GATHER_RUNS pieces are cut by one more hash, and so on.  Inside
+   its task a group is cut the same way down to SORT_RUNS, since many short texts sort side by side.
 4. Repeats go back to the documents and their bytes are cut out.
+
+So content hashes settle only what is equal as a whole; among unequal runs and pieces the suffix
+order decides every window.
 """
 
 from __future__ import annotations
@@ -33,14 +38,17 @@ from tabforge.llm.gsaca import suffix_order
 from tabforge.session import scratch_path
 
 ANCHOR = 32
-MAX_RUNS = 64
+GROUP_RUNS, SORT_RUNS = 4096, 64
+#: Pieces of a divided anchor that one task may gather (about 130 bytes each).
+GATHER_RUNS = 1 << 16
 SLICE = 1 << 20
 #: Symbols that are sorted side by side.
 SORT_AT_ONCE = 1 << 20
-RUN, SPAN, WINDOW, HOT, FETCH, APART = range(6)
-#: A place and a number of windows travel as one long, place * FIRST + number; FIRST - 1 windows
-#: mark a first one.
-FIRST = 1 << 16
+RUN, SPAN, PIECE, HOT, FETCH, DIVIDE = range(6)
+#: A place and a number of windows travel as one long, place * PLACE + number.
+PLACE = 1 << 16
+#: Windows whose hashes are sorted at once.
+CUT_AT_ONCE = 1 << 14
 _NULL_ID, _NULL_SEQ = (1 << 63) - 1, 1 << 30
 
 DEALT = ("bucket int, kind int, h array<int>, a array<long>, b array<long>, doc array<long>, "
@@ -64,7 +72,8 @@ def runs_of(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _runs_of_slice(raw: bytes, length: int, lo: int):
+def _anchor_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of all strings of ANCHOR bytes."""
     x = np.frombuffer(raw, np.uint8).astype(np.uint64)
     h, width = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 1
     while width < ANCHOR:  # from hashes of width bytes to those of twice as many
@@ -72,6 +81,53 @@ def _runs_of_slice(raw: bytes, length: int, lo: int):
         h = (left * np.uint64(0xD6E8FEB86659FD93) ^ (right >> np.uint64(29))) + right * np.uint64(0xA0761D6478BD642F)
         h ^= h >> np.uint64(32)
         width *= 2
+    return h
+
+
+def pieces_of(strings: list[bytes], length: int, level: int):
+    """``(string, first window, windows, key)`` of the pieces of strings: stretches of windows with
+    the same ``level`` smallest hashes, which make the key.  Equal windows have equal keys."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    hashes = _anchor_hashes(b"".join(strings)) >> np.uint64(20)
+    count = sizes - length + 1
+    of = np.repeat(np.arange(len(sizes)), count)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    place = np.repeat(np.cumsum(sizes) - sizes, count) + at
+    view = np.lib.stride_tricks.sliding_window_view(hashes, length - ANCHOR + 1)
+    key = np.empty(len(of), np.uint64)
+    for lo in range(0, len(of), CUT_AT_ONCE):
+        least = np.partition(view[place[lo:lo + CUT_AT_ONCE]], level - 1, axis=1)[:, :level]
+        least.sort(axis=1)
+        mixed = np.zeros(len(least), np.uint64)
+        for column in least.T:
+            mixed = (mixed ^ column) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        key[lo:lo + CUT_AT_ONCE] = mixed
+    fresh = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])) \
+        if len(of) else np.zeros(0, np.int64)
+    return of[fresh], at[fresh], np.diff(np.append(fresh, len(of))), key[fresh].view(np.int64)
+
+
+def _pieces(strings, doc, seq, start, length, level):
+    """Pieces of runs at ``(doc, seq, start)``: sorted columns ``key, content, doc, seq, start, n``,
+    the pieces' bytes, and which of equal bytes come first."""
+    of, at, n, key = pieces_of(strings, length, level)
+    found = [strings[r][a:a + m + length - 1] for r, a, m in zip(of.tolist(), at.tolist(), n.tolist(), strict=True)]
+    content = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)).view(np.int64)
+    doc, seq, start = doc[of], seq[of], start[of] + at
+    order = np.lexsort((start, seq, doc, content, key))
+    key, content, doc, seq, start, n = (x[order] for x in (key, content, doc, seq, start, n))
+    return (key, content, doc, seq, start, n), [found[i] for i in order.tolist()], _fresh(key, content)
+
+
+def _fresh(key, content) -> np.ndarray:
+    out = np.ones(len(key), bool)
+    out[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+    return out
+
+
+def _runs_of_slice(raw: bytes, length: int, lo: int):
+    h = _anchor_hashes(raw)
     # 44 bits of hash over 20 bits of place: the least one is the first of equal hashes
     least = (h & ~np.uint64(SLICE - 1)) | np.arange(len(h), dtype=np.uint64)
     reach, wide = length - ANCHOR + 1, 1
@@ -102,16 +158,6 @@ def _table(kind: int, bucket: np.ndarray, columns: dict) -> list[pa.RecordBatch]
     return [pa.RecordBatch.from_arrays(arrays, names=["bucket", "kind", *[n for n, _ in _COLUMNS]])]
 
 
-def _hash_windows(texts, doc, start, n, length):
-    """128-bit hashes, as two longs, of all windows of the runs; and the index of each one's run."""
-    run = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
-    digest = b"".join(xxhash.xxh3_128_digest(texts[d][s:s + length])
-                      for d, s in zip(np.repeat(doc, n).tolist(), at.tolist(), strict=True))
-    pair = np.frombuffer(digest, np.int64).reshape(-1, 2)
-    return pair[:, 0], pair[:, 1], run, at
-
-
 def _cut_task(length: int, buckets: int):
     def run(batches):
         for batch in batches:
@@ -138,16 +184,18 @@ def _cut_task(length: int, buckets: int):
             h, start, n, doc, content = (x[fresh] for x in (h, start, n, doc, content))
             edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             many = np.diff(np.append(edge, len(h)))
-            hot = np.repeat(many > MAX_RUNS, many)
-            yield from _table(HOT, h[edge][many > MAX_RUNS] % buckets,
-                              {"h": _short(h[edge][many > MAX_RUNS], buckets)})
+            hot = np.repeat(many > GROUP_RUNS, many)
+            yield from _table(HOT, h[edge][many > GROUP_RUNS] % buckets,
+                              {"h": _short(h[edge][many > GROUP_RUNS], buckets)})
             if hot.any():
-                yield from _table(SPAN, ids[doc[hot]] % buckets, {
-                    "doc": ids[doc[hot]], "seq": seqs[doc[hot]], "start": start[hot], "n": n[hot]})
-                a, b, of, at = _hash_windows(texts, doc[hot], start[hot], n[hot], length)
-                owner = doc[hot][of]
-                yield from _table(WINDOW, (a & 0xFFFFFFFF) % buckets, {
-                    "a": a, "b": b, "doc": ids[owner], "seq": seqs[owner], "start": at})
+                strings = [texts[d][x:x + k + length - 1] for d, x, k in
+                           zip(doc[hot].tolist(), start[hot].tolist(), n[hot].tolist(), strict=True)]
+                found, _, first = _pieces(strings, ids[doc[hot]], seqs[doc[hot]], start[hot], length, 2)
+                key, same, d, q, x, k = (c[~first] for c in found)
+                yield from _table(SPAN, d % buckets, {"doc": d, "seq": q, "start": x, "n": k})
+                key, same, d, q, x, k = (c[first] for c in found)
+                yield from _table(PIECE, (key & 0xFFFFFFFF) % buckets, {
+                    "a": key, "b": same, "doc": d, "seq": q, "start": x, "n": k})
             cool = ~hot
             yield from _table(RUN, h[cool] % buckets, {
                 "h": _short(h[cool], buckets), "a": content[cool], "doc": ids[doc[cool]],
@@ -176,40 +224,49 @@ def _flat(kind, doc, seq, start, n=None, a=None, b=None) -> pa.RecordBatch:
 
 
 def _settle_task():
-    """Compare the runs of each anchor by their hashes."""
+    """Compare the runs of each anchor, and the pieces of each group, by their hashes."""
+
+    def settled(key, a, doc, seq, start, n):
+        order = np.lexsort((start, seq, doc, a, key))
+        key, a, doc, seq, start, n = (x[order] for x in (key, a, doc, seq, start, n))
+        fresh = _fresh(key, a)
+        return (_flat(SPAN, doc[~fresh], seq[~fresh], start[~fresh], n[~fresh]),
+                tuple(x[fresh] for x in (key, doc, seq, start, n)))
 
     def run(batches):
-        held, marks = [], []
+        held, pieces, marks = [], [], []
         for batch in batches:
             kinds = batch.column(1).to_numpy()
             for kind in np.unique(kinds):
                 part = batch.filter(pa.array(kinds == kind))
                 cols = {n: part.column(i + 2).flatten().to_numpy() for i, (n, _) in enumerate(_COLUMNS)}
+                if kind == SPAN:
+                    yield _flat(SPAN, cols["doc"], cols["seq"], cols["start"], cols["n"])
+                    continue
+                if kind == PIECE:
+                    pieces.append([cols[c] for c in ("a", "b", "doc", "seq", "start", "n")])
+                    continue
                 counts = pa.compute.list_value_length(part.column(2)).to_numpy()
                 key = np.repeat(part.column(0).to_numpy().astype(np.int64) << 32, counts)
                 key = key | cols["h"].astype(np.int64) & 0xFFFFFFFF
                 if kind == RUN:
                     held.append((key, *[cols[c] for c in ("a", "doc", "seq", "start", "n")]))
-                elif kind == HOT:
-                    marks.append(key)
-                elif kind == SPAN:
-                    yield _flat(SPAN, cols["doc"], cols["seq"], cols["start"], cols["n"])
                 else:
-                    yield _flat(WINDOW, cols["doc"], cols["seq"], cols["start"], None, cols["a"], cols["b"])
+                    marks.append(key)
+        if pieces:
+            spans, (key, doc, seq, start, n) = settled(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
+            yield spans
+            yield _flat(DIVIDE, doc, seq, start, n, key)
         if not held:
             return
-        key, a, doc, seq, start, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        pieces.clear()
+        spans, (key, doc, seq, start, n) = settled(*(np.concatenate(x) for x in zip(*held, strict=True)))
         held.clear()
-        order = np.lexsort((start, seq, doc, a, key))
-        key, a, doc, seq, start, n = (x[order] for x in (key, a, doc, seq, start, n))
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1])
-        yield _flat(SPAN, doc[~fresh], seq[~fresh], start[~fresh], n[~fresh])
-        key, doc, seq, start, n = (x[fresh] for x in (key, doc, seq, start, n))
+        yield spans
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         many = np.diff(np.append(edge, len(key)))
         hot = np.isin(key[edge], np.concatenate(marks)) if marks else np.zeros(len(edge), bool)
-        ask = np.where(hot | (many > MAX_RUNS), APART, np.where(many > 1, FETCH, -1))
+        ask = np.where(hot | (many > GROUP_RUNS), DIVIDE, np.where(many > 1, FETCH, -1))
         ask = np.repeat(ask, many)
         go = ask >= 0
         yield _flat(ask[go], doc[go], seq[go], start[go], n[go], key[go])
@@ -217,15 +274,27 @@ def _settle_task():
     return run
 
 
-def _fetch_task(length: int):
-    """Bytes of the runs that are asked for, or hashes of their windows."""
-    types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-    names = ["kind", "doc", "seq", "start", "a", "b", "s"]
+def _fetched(kind, doc, seq, start, a, n, s) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v, t) for v, t in
+         zip((np.full(len(doc), kind), doc, seq, start, a, n, s), types, strict=True)],
+        names=["kind", "doc", "seq", "start", "a", "n", "s"])
+
+
+def _divided(strings, doc, seq, start, length, level):
+    """Pieces of runs: those that come first with their bytes, the others as spans."""
+    (key, _, doc, seq, start, n), found, first = _pieces(strings, doc, seq, start, length, level)
+    yield _fetched(RUN, doc[first], seq[first], start[first], key[first], n[first],
+                   [x for x, f in zip(found, first.tolist(), strict=True) if f])
+    if not first.all():
+        rest = ~first
+        yield _fetched(SPAN, doc[rest], seq[rest], start[rest], key[rest], n[rest],
+                       pa.nulls(int(rest.sum()), pa.binary()))
 
-    def rows(kind, doc, seq, start, a, b, s):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in
-             zip((np.full(len(doc), kind), doc, seq, start, a, b, s), types, strict=True)], names=names)
+
+def _fetch_task(length: int):
+    """Bytes of the runs that are asked for, or of their pieces."""
 
     def run(batches):
         for batch in batches:
@@ -234,23 +303,32 @@ def _fetch_task(length: int):
             asked = batch.column(3)
             doc = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(asked).to_numpy())
             place, key = (asked.flatten().field(i).to_numpy() for i in range(2))
-            kind, (start, n) = np.where(place < 0, APART, FETCH), np.divmod(np.abs(place), FIRST)
+            divide, (start, n) = place < 0, np.divmod(np.abs(place), PLACE)
             for lo in range(0, len(doc), 1 << 16):
                 part = slice(lo, lo + (1 << 16))
-                d, k, s, m, name = doc[part], kind[part], start[part], n[part], key[part]
-                f = k == FETCH
+                d, cut, s, m, name = doc[part], divide[part], start[part], n[part], key[part]
                 strings = [texts[i][x:x + y + length - 1] for i, x, y in
-                           zip(d[f].tolist(), s[f].tolist(), m[f].tolist(), strict=True)]
-                yield rows(RUN, ids[d[f]], seqs[d[f]], s[f], name[f], name[f], strings)
-                if not f.all():
-                    d, s, m = d[~f], s[~f], m[~f]
-                    a, b, of, at = _hash_windows(texts, d, s, m, length)
-                    yield rows(WINDOW, ids[d[of]], seqs[d[of]], at, a, b, pa.nulls(len(a), pa.binary()))
+                           zip(d.tolist(), s.tolist(), m.tolist(), strict=True)]
+                whole = np.flatnonzero(~cut)
+                yield _fetched(RUN, ids[d[whole]], seqs[d[whole]], s[whole], name[whole], m[whole],
+                               [strings[i] for i in whole.tolist()])
+                if len(whole) < len(d):
+                    yield from _divided([x for x, c in zip(strings, cut.tolist(), strict=True) if c],
+                                        ids[d[cut]], seqs[d[cut]], s[cut], length, 2)
 
     return run
 
 
-FETCHED = "kind int, doc long, seq int, start int, a long, b long, s binary"
+def _divide_task(length: int, level: int):
+    def run(batches):
+        for batch in batches:
+            doc, seq, start = (batch.column(i).to_numpy() for i in range(1, 4))
+            yield from _divided(batch.column(6).to_pylist(), doc, seq, start, length, level)
+
+    return run
+
+
+FETCHED = "kind int, doc long, seq int, start int, a long, n int, s binary"
 
 
 def repeated_windows(groups: list[list[tuple]], length: int):
@@ -309,20 +387,51 @@ def _repeated_in(groups, length):
     return doc[of], seq[of], where, np.diff(np.append(at, len(repeat)))
 
 
+def small_groups(group: list[tuple], length: int):
+    """``(spans, groups)``: a group cut to groups of at most SORT_RUNS unequal pieces, by ever more
+    hashes, and the spans that repeat a whole piece."""
+    first, spans = {}, []
+    for doc, seq, start, raw in sorted(group, key=lambda r: r[:3]):
+        if raw in first:
+            spans.append((doc, seq, start, len(raw) - length + 1))
+        else:
+            first[raw] = (doc, seq, start, raw)
+    todo, done = [(list(first.values()), 2)], []
+    while todo:
+        rows, level = todo.pop()
+        if len(rows) <= SORT_RUNS or level > length - ANCHOR + 1:
+            if len(rows) > 1:
+                done.append(rows)
+            continue
+        doc, seq, start = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        (key, _, doc, seq, start, n), found, fresh = _pieces([r[3] for r in rows], doc, seq, start, length, level)
+        spans += zip(*(x[~fresh].tolist() for x in (doc, seq, start, n)), strict=True)
+        at = np.flatnonzero(fresh)
+        cuts = np.flatnonzero(key[at][1:] != key[at][:-1]) + 1
+        for part in np.split(at, cuts):
+            todo.append(([(int(doc[i]), int(seq[i]), int(start[i]), found[i]) for i in part], level + 1))
+    return spans, done
+
+
 def _sort_task(length: int):
     def run(batches):
         groups: dict[int, list] = {}
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            other = table.filter(pa.compute.equal(table["kind"], WINDOW))
+            other = table.filter(pa.compute.equal(table["kind"], SPAN))
             if other.num_rows:
-                doc, seq, start, a, b = (other[c].to_numpy() for c in ("doc", "seq", "start", "a", "b"))
-                yield _flat(WINDOW, doc, seq, start, None, a, b)
+                yield _flat(SPAN, *(other[c].to_numpy() for c in ("doc", "seq", "start", "n")))
             own = table.filter(pa.compute.equal(table["kind"], RUN))
             for row in zip(*[own[c].to_pylist() for c in ("a", "doc", "seq", "start", "s")], strict=True):
                 groups.setdefault(row[0], []).append(row[1:])
-        if groups:
-            yield _flat(SPAN, *repeated_windows(list(groups.values()), length))
+        small = []
+        for key in list(groups):
+            spans, parts = small_groups(groups.pop(key), length)
+            small += parts
+            if spans:
+                yield _flat(SPAN, *(np.array(x, np.int64) for x in zip(*spans, strict=True)))
+        if small:
+            yield _flat(SPAN, *repeated_windows(small, length))
 
     return run
 
@@ -343,7 +452,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _packed(sign, start, n):
     """Place and number as one long; ``sign`` is kept as the sign (n is never 0)."""
-    value = F.col(start).cast("long") * FIRST + n.cast("long")
+    value = F.col(start).cast("long") * PLACE + n.cast("long")
     return F.when(sign, -value).otherwise(value)
 
 
@@ -353,30 +462,44 @@ def _written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc, seq, span)``: windows, packed, that also start earlier, but for those that come once
-    more as a first one."""
+def _grouped(fetched: DataFrame, length: int, group_runs: int) -> DataFrame:
+    """``fetched`` with no group of more than ``group_runs`` pieces: larger ones are cut by one more
+    hash, until the windows of a group are equal but for what hashes have not seen."""
+    done = None
+    for level in range(3, length - ANCHOR + 2):
+        large = (fetched.where(F.col("kind") == RUN).groupBy("a").agg(F.count(F.lit(1)).alias("many"))
+                 .where(F.col("many") > group_runs).select("a"))
+        if large.isEmpty():
+            break
+        deeper = (fetched.where(F.col("kind") == RUN).join(large, "a", "left_semi").select(*fetched.columns)
+                  .mapInArrow(_divide_task(length, level), FETCHED))
+        # only the large groups are written again
+        small = (fetched.where(F.col("kind") == RUN).join(large, "a", "left_anti").select(*fetched.columns)
+                 .union(fetched.where(F.col("kind") == SPAN)))
+        done = small if done is None else done.union(small)
+        fetched = _written(deeper, fetched.sparkSession, "pieces")
+    return fetched if done is None else done.union(fetched)
+
+
+def repeated_spans(docs: DataFrame, length: int, group_runs: int = GATHER_RUNS) -> DataFrame:
+    """``(doc, seq, span)``: windows, packed, that also start earlier."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select("_doc", "_seq", "_text")
+    keyed = docs.select("_doc", "_seq", "__text")
     buckets = 4 * parts
     settled = _written(
         keyed.mapInArrow(_cut_task(length, buckets), DEALT).repartition(parts, "bucket")
         .mapInArrow(_settle_task(), FLAT), spark, "runs")
     asked = (settled.where(F.col("kind") >= FETCH)
              .groupBy("doc", "seq")
-             .agg(F.collect_list(F.struct(_packed(F.col("kind") == APART, "start", F.col("n")), "a")).alias("asked")))
+             .agg(F.collect_list(F.struct(_packed(F.col("kind") == DIVIDE, "start", F.col("n")), "a")).alias("asked")))
     found = (keyed.join(asked, (F.col("_doc") == F.col("doc")) & (F.col("_seq") == F.col("seq")))
-             .select("_doc", "_seq", "_text", "asked"))
-    sorted_ = _written(found.mapInArrow(_fetch_task(length), FETCHED).repartition(parts, "a")
-                       .mapInArrow(_sort_task(length), FLAT), spark, "repeats")
-    both = settled.union(sorted_)
-    # Runs that were taken apart count as repeats but for the windows that are first somewhere.
-    first = (both.where(F.col("kind") == WINDOW).groupBy("a", "b")
-             .agg(F.min(F.struct("doc", "seq", "start")).alias("f")).select("f.*"))
-    return (both.where(F.col("kind").isin(SPAN, APART))
-            .select("doc", "seq", _packed(F.lit(False), "start", F.col("n")).alias("span"))
-            .union(first.select("doc", "seq", _packed(F.lit(False), "start", F.lit(FIRST - 1)))))
+             .select("_doc", "_seq", "__text", "asked"))
+    fetched = _grouped(_written(found.mapInArrow(_fetch_task(length), FETCHED), spark, "pieces"),
+                       length, group_runs)
+    sorted_ = _written(fetched.repartition(parts, "a").mapInArrow(_sort_task(length), FLAT), spark, "repeats")
+    return (settled.where(F.col("kind") == SPAN).union(sorted_)
+            .select("doc", "seq", _packed(F.lit(False), "start", F.col("n")).alias("span")))
 
 
 def _remove_udf(length: int):
@@ -386,12 +509,7 @@ def _remove_udf(length: int):
         for raw, here in zip(text_bytes(text), spans, strict=True):
             pieces, upto, runs, lost = [], 0, 0, 0
             if here.is_valid:
-                start, n = np.divmod(here.values.to_numpy(), FIRST)
-                if (first := n == FIRST - 1).any():
-                    own, start, n = start[first], start[~first], n[~first]
-                    start = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    start = start[~np.isin(start, own)]
-                    n = np.ones(len(start), np.int64)
+                start, n = np.divmod(here.values.to_numpy(), PLACE)
                 order = np.argsort(start)
                 end = np.maximum.accumulate((start + n)[order] + length - 1)
                 start = start[order]
@@ -413,7 +531,7 @@ def _remove_udf(length: int):
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", group_runs: int = GATHER_RUNS) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts earlier: in a smaller
     id, or in the same document before.  Strings overlap, don't cross documents, and are judged on
     the input.
@@ -423,18 +541,19 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
 
     Null and empty texts, and those shorter than ``length``, lose nothing.  Rows that repeat an id
     are documents of their own, ordered by their text's hash; rows without an id come last.  An
-    empty table gives an empty result.  Two tables of places (no text) are written to the shared
-    checkpoint folder.  ``spark.sql.shuffle.partitions`` sets the share of the runs a task holds.
+    empty table gives an empty result; long texts are cut into runs by slices.  Tables of places, and
+    one of the stretches of text that the sorting compares, are written to the shared checkpoint
+    folder.  ``spark.sql.shuffle.partitions`` sets the share of the runs a task holds.
     """
-    if not 2 * ANCHOR <= length < FIRST:
-        raise ValueError(f"length must be from {2 * ANCHOR} to {FIRST - 1}")
+    if not 2 * ANCHOR <= length < PLACE:
+        raise ValueError(f"length must be from {2 * ANCHOR} to {PLACE - 1}")
     numbered = (_numbered(docs, id_col, text_col)
-                .withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    spans = (repeated_spans(numbered, length).groupBy("doc", "seq")
+                .withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    spans = (repeated_spans(numbered, length, group_runs).groupBy("doc", "seq")
              .agg(F.collect_list("span").alias("_spans"))
              .withColumnsRenamed({"doc": "_sdoc", "seq": "_sseq"}))
     joined = numbered.join(spans, (F.col("_doc") == F.col("_sdoc")) & (F.col("_seq") == F.col("_sseq")),
                            "left")
-    out = joined.withColumn("_out", _remove_udf(length)(F.col("_text"), F.col("_spans")))
+    out = joined.withColumn("_out", _remove_udf(length)(F.col("__text"), F.col("_spans")))
     return out.withColumns({c: F.col(f"_out.{c}") for c in ("kept", "n_bytes", "n_removed", "n_spans")}
-                           ).drop("_out", "_spans", "_sdoc", "_sseq", "_doc", "_seq", "_text")
+                           ).drop("_out", "_spans", "_sdoc", "_sseq", "_doc", "_seq", "__text")

@@ -149,7 +149,7 @@ def test_substrings_against_brute_force(spark):
     rows += [(300, None), (301, ""), (302, "a" * 3000), (303, "ab" * 700), (304, "short"),
              (305, "\u0000" * 400), (306, LONG[:3000]), (-4, LONG[:3000])]
     want = _brute_substrings(rows, 100)
-    for parts in (1, 6):  # one task sees more than MAX_RUNS runs of an anchor, or none does
+    for parts in (1, 6):
         docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
         got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
                for r in suffix_dedup.dedup_substrings(docs).collect()}
