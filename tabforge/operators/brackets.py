@@ -179,3 +179,159 @@ def _list(rows: DataFrame, pos: Mapping[str, int], todo) -> dict[tuple[str, int]
                 found[key] = x
                 break
     return found
+
+
+# ----------------------------------------------------------------------------- fold complements
+
+#: Steps of the sketched values proposed for the complements of folds.
+GRID = 200
+#: Brackets counted or sketched in one aggregation.
+SPANS = 120
+
+
+@dataclass
+class _Part(_Bracket):
+    """A bracket in the complement of a fold; ``rows`` counts those of all folds in it."""
+    rows: int = 0
+
+
+def complement_values(df: DataFrame, columns: Mapping[str, Column], fold: Column, n_folds: int,
+                      probs: Sequence[float]) -> dict[tuple[str, int], list[float]]:
+    """``{(name, fold): [quantile per probability]}`` of all rows outside each fold, exact.
+
+    Every bracket is counted per fold in one pass; the counts of a complement are those of all
+    rows less the fold's own, so no row is copied or shuffled.  Rows without a fold, or of another
+    number, belong to every complement.  A complement without values is absent.  The driver holds a
+    bracket per column, fold and rank and at most about ``LIST_ROWS`` counted values at once.
+    """
+    names = list(columns)
+    out: dict[tuple[str, int], list[float]] = {}
+    for start in range(0, len(names), BATCH):
+        part = {n: columns[n] for n in names[start:start + BATCH]}
+        out |= _complements(df, part, fold, n_folds, list(probs))
+    return out
+
+
+def _complements(df, columns, fold, n_folds, probs):
+    names, pos = list(columns), {n: i for i, n in enumerate(columns)}
+    rows = df.select(fold.cast("int").alias("k"),
+                     *[_value(columns, n).alias(f"x{i}") for i, n in enumerate(names)])
+    cols = [(i, F.col(f"x{i}")) for i in range(len(names))]
+    sizes = {r["k"]: r for r in rows.groupBy("k").agg(
+        *[F.count(x).alias(f"n{i}") for i, x in cols]).collect()}         # a row per fold
+    asked = [q for p in probs for q in _around(float(p))[::2]]
+    first = rows.agg(*[a for i, x in cols for a in (
+        F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+        F.percentile_approx(x, asked, ACCURACY).alias(f"s{i}"))]).first()
+
+    ranks, todo, proposals = {}, {}, {}
+    for i, name in enumerate(names):
+        total = sum(r[f"n{i}"] for r in sizes.values())
+        for k in range(n_folds):
+            n = total - (sizes[k][f"n{i}"] if k in sizes else 0)
+            if not n:
+                continue
+            ranks[name, k] = []
+            for p_at, p in enumerate(probs):
+                at = (n - 1) * float(p)
+                low, high = math.floor(at), math.ceil(at)
+                ranks[name, k].append((low, high, at - low))
+                for r in (low, high):
+                    todo[name, k, r] = _Part(name, first[f"lo{i}"], first[f"hi{i}"], 0, n, total)
+                    proposals[name, k, r] = tuple(first[f"s{i}"][2 * p_at:2 * p_at + 2])
+
+    found: dict[tuple[str, int, int], float] = {}
+    while todo:
+        todo = _count_folds(rows, pos, todo, proposals)
+        found |= {key: b.lo for key, b in todo.items() if b.lo == b.hi}
+        todo = {key: b for key, b in todo.items() if b.lo != b.hi}
+        # the lists of all brackets together stay within LIST_ROWS
+        most = max(1, LIST_ROWS // max(1, len({(b.column, b.lo, b.hi) for b in todo.values()})))
+        short = {key: b for key, b in todo.items() if b.rows <= most}
+        found |= _list_folds(rows, pos, short)
+        todo = {key: b for key, b in todo.items() if key not in short}
+        proposals = _propose_grid(rows, pos, todo)
+    return {(name, k): [found[name, k, lo] + (f * (found[name, k, hi] - found[name, k, lo]) if f else 0.0)
+                        for lo, hi, f in rs] for (name, k), rs in ranks.items()}
+
+
+def _count_folds(rows: DataFrame, pos: Mapping[str, int], todo, proposals):
+    spans = sorted({(key[0], b.lo, b.hi, *proposals[key]) for key, b in todo.items()})
+    counts = {}
+    for start in range(0, len(spans), SPANS):
+        chunk, aggs = spans[start:start + SPANS], []
+        for j, (name, a, b, lo, hi) in enumerate(chunk):
+            x = F.col(f"x{pos[name]}")
+            left, mid, right = (x >= a) & (x < lo), (x >= lo) & (x <= hi), (x > hi) & (x <= b)
+            aggs += [F.count_if(left).alias(f"l{j}"), F.count_if(mid).alias(f"m{j}"),
+                     F.count_if(right).alias(f"r{j}"),
+                     F.min(F.when(mid, x)).alias(f"lo{j}"), F.max(F.when(mid, x)).alias(f"hi{j}"),
+                     F.max(F.when(left, x)).alias(f"la{j}"), F.min(F.when(right, x)).alias(f"rb{j}")]
+        got = rows.groupBy("k").agg(*aggs).collect()                        # a row per fold
+        for j, span in enumerate(chunk):
+            own = {g["k"]: (g[f"l{j}"], g[f"m{j}"], g[f"r{j}"]) for g in got}
+            ends = [end([g[f"{c}{j}"] for g in got if g[f"{c}{j}"] is not None], default=None)
+                    for c, end in (("la", max), ("lo", min), ("hi", max), ("rb", min))]
+            counts[span] = own, [sum(c) for c in zip(*own.values())], ends
+    out = {}
+    for key, b in todo.items():
+        own, whole, (la, mlo, mhi, rb) = counts[key[0], b.lo, b.hi, *proposals[key]]
+        left, mid, right = (w - o for w, o in zip(whole, own.get(key[1], (0, 0, 0))))
+        r = key[2] - b.below
+        if r < left:
+            out[key] = _Part(b.column, b.lo, la, b.below, left, whole[0])
+        elif r < left + mid:
+            out[key] = _Part(b.column, mlo, mhi, b.below + left, mid, whole[1])
+        else:
+            out[key] = _Part(b.column, rb, b.hi, b.below + left + mid, right, whole[2])
+    return out
+
+
+def _propose_grid(rows: DataFrame, pos: Mapping[str, int], todo) -> dict:
+    """A narrower bracket for each rank, from one sketch per bracket over the rows of all folds;
+    where a fold lies unevenly the proposal may miss, which the next count sets right."""
+    steps = [i / GRID for i in range(GRID + 1)]
+    spans = sorted({(key[0], b.lo, b.hi) for key, b in todo.items()})
+    sketch = {}
+    for start in range(0, len(spans), SPANS):
+        chunk, aggs = spans[start:start + SPANS], []
+        for j, (name, lo, hi) in enumerate(chunk):
+            x = F.col(f"x{pos[name]}")
+            aggs.append(F.percentile_approx(F.when((x >= lo) & (x <= hi), x), steps, ACCURACY).alias(f"s{j}"))
+        got = rows.agg(*aggs).first()
+        sketch |= {span: got[f"s{j}"] for j, span in enumerate(chunk)}
+    out = {}
+    for key, b in todo.items():
+        s = sketch[key[0], b.lo, b.hi]
+        at = (key[2] - b.below) / max(1, b.inside - 1) * GRID
+        low, high = s[max(0, math.floor(at - 0.5))], s[min(GRID, math.ceil(at + 0.5))]
+        mid = s[round(at)]
+        out[key] = (mid, mid) if (low, high) == (b.lo, b.hi) else (low, high)
+    return out
+
+
+def _list_folds(rows: DataFrame, pos: Mapping[str, int], todo) -> dict:
+    if not todo:
+        return {}
+    spans = sorted({(b.column, b.lo, b.hi) for b in todo.values()})
+    values: dict[tuple, dict[float, dict]] = {span: {} for span in spans}
+    for start in range(0, len(spans), SPANS):
+        chunk = spans[start:start + SPANS]
+        hits = [F.when((F.col(f"x{pos[n]}") >= lo) & (F.col(f"x{pos[n]}") <= hi),
+                       F.struct(F.lit(j).alias("j"), F.col(f"x{pos[n]}").alias("x")))
+                for j, (n, lo, hi) in enumerate(chunk)]
+        got = (rows.select("k", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h"))
+               .groupBy("k", "h.j", "h.x").agg(F.count(F.lit(1)).alias("n")).collect())
+        for r in got:
+            values[chunk[r["j"]]].setdefault(r["x"], {})[r["k"]] = r["n"]
+    ordered = {span: sorted((x, sum(by.values()), by) for x, by in seen.items())
+               for span, seen in values.items()}
+    found = {}
+    for key, b in todo.items():
+        seen = b.below
+        for x, n, by in ordered[b.column, b.lo, b.hi]:
+            seen += n - by.get(key[1], 0)
+            if key[2] < seen:
+                found[key] = x
+                break
+    return found

@@ -18,8 +18,8 @@ to one task.  Both break when one group holds a third of the rows.  Here:
 A quantile at ``p`` is read off as the values at ranks ``floor(p(n-1))`` and
 ``ceil(p(n-1))`` and interpolated linearly, which is what pandas, numpy and
 DuckDB's ``quantile_cont`` compute.  The last step is one more aggregation,
-again map-side combined.  Quantiles of whole columns, without groups or weights, come from
-``brackets``, which shuffles no rows at all.
+again map-side combined.  Only weighted quantiles and ranks need this: unweighted ones come from
+``brackets`` (whole columns) and ``group_brackets`` (groups), which sort no hot group.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
 from tabforge.operators.brackets import quantile_values
+from tabforge.operators.group_brackets import group_quantiles
 from tabforge.session import checkpoint
 
 _CNT, _BEFORE, _N, _PID = "_cnt", "_before", "_n", "_pid"
@@ -103,6 +104,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         got = quantile_values(df, {value: qcol(value)}, probs)
         return df.sparkSession.createDataFrame(
             [tuple(map(float, v)) for v in got.values()], ", ".join(f"`{n}` double" for n in names))
+    if weight is None:
+        return group_quantiles(df, value, probs, by, names)
     ranks = value_ranks(df, value, by, weight)
     n1 = (F.col(_N) - 1).cast("double")
     aggs = []
