@@ -271,9 +271,16 @@ def _robust_sql(cols, src: str) -> str:
         f"ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS i_{c}" for c in cols) + f" FROM {src}"
 
 
-def _stack_sql() -> str:
+def _stack_sql(per_fold: bool = False) -> str:
     """Ridge base on robust-scaled features out of fold, then cyclic coordinate descent of the
-    scaled Lasso over both features and the base's predictions."""
+    scaled Lasso over both features and the base's predictions.  ``per_fold`` scales each fold's
+    base by the other folds' rows: on unscaled features its penalty is 7 squared IQRs."""
+    scaled = "x1, x2" if per_fold else "(x1 - m_x1) / i_x1 AS x1, (x2 - m_x2) / i_x2 AS x2"
+    p1, p2 = ("p1", "p2") if per_fold else ("7", "7")
+    penalty = """
+pen AS (SELECT f.k, 7 * POWER(quantile_cont(x1, 0.75) - quantile_cont(x1, 0.25), 2) AS p1,
+               7 * POWER(quantile_cont(x2, 0.75) - quantile_cont(x2, 0.25), 2) AS p2
+        FROM rows_ JOIN (SELECT unnest(range(-1, 5)) AS k) f ON rows_.fold <> f.k GROUP BY f.k),""" if per_fold else ""
     cols = ["x1", "x2", "p"]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     stats = ", ".join([f"COUNT(*) * COVAR_POP({a}, {b}) AS g_{a}_{b}" for a, b in pairs]
@@ -287,16 +294,18 @@ def _stack_sql() -> str:
         return f"SIGN({rho}) * GREATEST(ABS({rho}) - n * 0.0007, 0) / {g(c, c)}"
     return f"""
 WITH RECURSIVE {ROWS}, sc AS ({_robust_sql(['x1', 'x2'], 'rows_')}),
-raw AS (SELECT l_orderkey, fold, x1 AS o1, x2 AS o2, (x1 - m_x1) / i_x1 AS x1, (x2 - m_x2) / i_x2 AS x2, y
-        FROM rows_, sc),
+raw AS (SELECT l_orderkey, fold, x1 AS o1, x2 AS o2, {scaled}, y
+        FROM rows_, sc),{penalty}
 tr AS ({TRAIN.split('AS (', 1)[1].rsplit(')', 1)[0].replace('rows_', 'raw')}),
 allr AS (SELECT AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my, COUNT(*) * VAR_POP(x1) AS g11,
                 COUNT(*) * VAR_POP(x2) AS g22, COUNT(*) * COVAR_POP(x1, x2) AS g12,
                 COUNT(*) * COVAR_POP(x1, y) AS c1, COUNT(*) * COVAR_POP(x2, y) AS c2 FROM raw),
-w AS (SELECT k, m1, m2, my, ((g22 + 7) * c1 - g12 * c2) / ((g11 + 7) * (g22 + 7) - g12 * g12) AS w1,
-             ((g11 + 7) * c2 - g12 * c1) / ((g11 + 7) * (g22 + 7) - g12 * g12) AS w2
+w AS (SELECT k, m1, m2, my,
+             ((g22 + {p2}) * c1 - g12 * c2) / ((g11 + {p1}) * (g22 + {p2}) - g12 * g12) AS w1,
+             ((g11 + {p1}) * c2 - g12 * c1) / ((g11 + {p1}) * (g22 + {p2}) - g12 * g12) AS w2
       FROM (SELECT k, m1, m2, my, g11, g22, g12, c1, c2 FROM tr
-            UNION ALL SELECT -1, m1, m2, my, g11, g22, g12, c1, c2 FROM allr)),
+            UNION ALL SELECT -1, m1, m2, my, g11, g22, g12, c1, c2 FROM allr)
+      {"JOIN pen USING (k)" if per_fold else ""}),
 oof AS (SELECT o1, o2, y, my + w1 * (x1 - m1) + w2 * (x2 - m2) AS o3 FROM raw JOIN w ON raw.fold = w.k),
 ms AS ({_robust_sql(['o1', 'o2', 'o3'], 'oof')}),
 meta AS (SELECT (o1 - m_o1) / i_o1 AS x1, (o2 - m_o2) / i_o2 AS x2, (o3 - m_o3) / i_o3 AS p, y FROM oof, ms),
@@ -315,16 +324,70 @@ SELECT l_orderkey, ROUND(a_y + w_x1 * ((o1 - m_o1) / i_o1 - a_x1) + w_x2 * ((o2
                          + w_p * ((o3 - m_o3) / i_o3 - a_p), 4) AS pred FROM full_, z"""
 
 
-@register("stacking_ridge", _stack_sql())
-def q_stacking_ridge(spark, d):
+def _stacked_ridge(spark, d, per_fold: bool):
     from tabforge.models.ensemble import EnsembleConfig, fit_stack
     rows = _rows(spark, d).drop("fold")
-    cfg = EnsembleConfig(stack_folds=5, gbt_trees=0, per_fold_scaling=False, fold_method="mod",
+    cfg = EnsembleConfig(stack_folds=5, gbt_trees=0, per_fold_scaling=per_fold, fold_method="mod",
                          bases=("ridge",), meta_tol=1e-9)
     m = fit_stack(rows, "l_orderkey", FEATS, "y", cfg)
     return m.transform(rows, "pred").select("l_orderkey", r4("pred").alias("pred"))
 
 
+@register("stacking_ridge", _stack_sql())
+def q_stacking_ridge(spark, d):
+    return _stacked_ridge(spark, d, False)
+
+
+@register("stacking_ridge_scaled", _stack_sql(per_fold=True))
+def q_stacking_ridge_scaled(spark, d):
+    return _stacked_ridge(spark, d, True)
+
+
+@register("fold_scalers", f"""
+WITH {ROWS}, f AS (SELECT unnest(range(5)) AS k),
+long AS (SELECT f.k, u.feature, CASE u.feature WHEN 'n_lines' THEN x1 ELSE x2 END AS x
+         FROM rows_ JOIN f ON rows_.fold <> f.k, (SELECT unnest(['n_lines', 'sum_qty']) AS feature) u),
+q AS (SELECT k, feature, quantile_cont(x, 0.5) AS center, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr
+      FROM long GROUP BY k, feature)
+SELECT CAST(k AS INTEGER) AS fold, feature, ROUND(center, 6) AS center,
+       ROUND(CASE WHEN iqr = 0 THEN 1 ELSE iqr END, 6) AS scale FROM q""")
+def q_fold_scalers(spark, d):
+    from tabforge.operators.scale import fit_robust_scalers_by_fold
+    got = fit_robust_scalers_by_fold(_rows(spark, d), FEATS, "fold", 5)
+    return spark.createDataFrame(
+        [(k, c, round(float(m.center[i]), 6), round(float(m.scale[i]), 6))
+         for k, m in got.items() for i, c in enumerate(FEATS)],
+        "fold int, feature string, center double, scale double")
+
+
+# ----------------------------------------------------------------------------- K3
+
+@register("linear_holdout", f"""
+WITH {ROWS},
+z AS (SELECT l_orderkey % 101 AS b, (x2 - med) / iqr AS x, y
+      FROM rows_, (SELECT quantile_cont(x2, 0.5) AS med,
+                          quantile_cont(x2, 0.75) - quantile_cont(x2, 0.25) AS iqr FROM rows_)),
+h AS (SELECT r, x, y, ((1 + r) * b + 37 * r) % 101 < 50 AS held FROM z, (SELECT unnest(range(50)) AS r)),
+tr AS (SELECT r, COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, COUNT(*) * VAR_POP(x) AS g,
+              COUNT(*) * COVAR_POP(x, y) AS c FROM h WHERE NOT held GROUP BY r),
+w AS (SELECT r, mx, my, 'ridge' AS base, c / (g + 10) AS w FROM tr
+      UNION ALL SELECT r, mx, my, 'lasso', SIGN(c) * GREATEST(ABS(c) - n * 0.01, 0) / g FROM tr),
+e AS (SELECT base, r, SQRT(AVG(POWER(y - my - w * (x - mx), 2))) AS rmsle
+      FROM h JOIN w USING (r) WHERE held GROUP BY base, r)
+SELECT base, CAST(r AS INTEGER) AS repeat, ROUND(rmsle, 6) AS rmsle,
+       ROUND(AVG(rmsle) OVER (PARTITION BY base), 6) AS mean,
+       ROUND(VAR_POP(rmsle) OVER (PARTITION BY base), 8) AS variance,
+       ROUND(STDDEV_POP(rmsle) OVER (PARTITION BY base), 6) AS stdev FROM e""")
+def q_linear_holdout(spark, d):
+    from tabforge.models.evaluate import linear_holdout
+    rows = order_aggs(spark, d).select("l_orderkey", "sum_qty", "sum_price")
+    per, summary = linear_holdout(rows, "l_orderkey", ["sum_qty"], "sum_price", fold_method="mod",
+                                  grids={"ridge": ([10.0], None), "lasso": ([0.01], [1.0])})
+    return per.join(F.broadcast(summary), "base").select(
+        "base", "repeat", r6("rmsle").alias("rmsle"), r6("mean").alias("mean"),
+        F.round("variance", 8).alias("variance"), r6("stdev").alias("stdev"))
+
+
 _W = {"ridge": 0.15, "lasso": 0.15, "enet": 0.15, "bayes": 0.05, "stack": 0.35}
 _BLEND_TERMS = " + ".join(f"{w} / 0.85 * (exp(my + w_{n} * (x2 - mx)) - 1)" for n, w in _W.items())
 

@@ -102,22 +102,34 @@ def is_train() -> Column:
 
 # ----------------------------------------------------------------------------- S1, S2
 
-@register("csv_roundtrip", """
+_CSV_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
        o_orderdate,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
-FROM orders""")
-def q_csv_roundtrip(spark, d):
+FROM orders"""
+
+
+def _csv_again(spark, d, inferred: bool):
     from tabforge.session import scratch_path
     o = t(spark, d, "orders").withColumns({
         "o_totalprice": null_when(F.col("o_orderkey") % 7 == 0, "o_totalprice"),
         "o_orderpriority": null_when(F.col("o_orderkey") % 11 == 0, "o_orderpriority"),
     })
     path = scratch_path(spark, "csv_roundtrip")
-    fmt = "yyyy-MM-dd HH:mm:ss"
+    fmt = None if inferred else "yyyy-MM-dd HH:mm:ss"
     write_csv(o, path, timestamp_format=fmt)
-    return read_csv(spark, path, o.schema, timestamp_format=fmt)
+    return read_csv(spark, path, None if inferred else o.schema, timestamp_format=fmt)
+
+
+@register("csv_roundtrip", _CSV_SQL)
+def q_csv_roundtrip(spark, d):
+    return _csv_again(spark, d, inferred=False)
+
+
+@register("csv_inferred", _CSV_SQL)
+def q_csv_inferred(spark, d):
+    return _csv_again(spark, d, inferred=True)
 
 
 # ----------------------------------------------------------------------------- P1-P13
