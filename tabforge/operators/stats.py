@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.nullsafe import qcol
 from tabforge.operators.frame import require_columns
+from tabforge.operators.tiles import masked_correlations
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -55,34 +56,14 @@ def skew_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def corr_long(df: DataFrame, columns: Sequence[str], complete_rows: bool = False) -> DataFrame:
-    """``(a, b, r)`` for every pair ``a < b`` (by position): pairwise-complete Pearson r.
+    """``(a, b, r)`` for every pair: pairwise-complete Pearson r from masked sums (``tiles``).
 
-    All ``d(d-1)/2`` correlations are aggregate expressions of one job.  With
-    ``complete_rows=True`` (rows with a NULL in any listed column are skipped,
-    which equals pairwise-complete on imputed data) the matrix comes from one
-    ``XᵀX`` pass instead, which scales to hundreds of columns.
+    With ``complete_rows=True`` rows with a NULL in any listed column are skipped (which equals
+    pairwise-complete on imputed data) and the matrix comes from one ``XᵀX`` pass.
     """
     require_columns(df, columns)
     cols = list(columns)
-    if complete_rows:
-        return _corr_from_gram(df, cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-
-    def corr(a: str, b: str) -> Column:
-        # NULL where either column is constant over the rows that have both
-        x, y = qcol(a).cast("double"), qcol(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        varies = [F.max(F.when(both, v)) > F.min(F.when(both, v)) for v in (x, y)]
-        cov, sx, sy = F.covar_pop(x, y), F.stddev_pop(F.when(both, x)), F.stddev_pop(F.when(both, y))
-        return F.when(varies[0] & varies[1], F.try_divide(cov, sx * sy))
-
-    agg = df.agg(*[corr(cols[i], cols[j]).alias(f"_r{k}") for k, (i, j) in enumerate(pairs)])
-    return agg.select(F.explode(F.array(*[
-        F.struct(F.lit(min(cols[i], cols[j])).alias("a"), F.lit(max(cols[i], cols[j])).alias("b"),
-                 F.col(f"_r{k}").alias("r"))
-        for k, (i, j) in enumerate(pairs)])).alias("kv")).select("kv.a", "kv.b", "kv.r")
+    return _corr_from_gram(df, cols) if complete_rows else masked_correlations(df, cols)
 
 
 def _corr_from_gram(df: DataFrame, cols: list[str]) -> DataFrame:
