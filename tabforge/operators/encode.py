@@ -6,11 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabforge.functions.nullsafe import eq_flag, qcol
 from tabforge.operators.frame import require_columns
+from tabforge.session import checkpoint
 
 
 def _c(x) -> Column:
@@ -137,13 +140,12 @@ class OneHotModel:
         return out.drop(*cols) if drop_source else out
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int | None = 1000) -> OneHotModel:
+def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> OneHotModel:
     """Distinct levels of every column in one job (values read as strings).
 
     The fitted vocabulary is collected, so its size is checked: more than
     ``max_levels`` levels in a column raises instead of building a huge
-    dense schema.  ``None`` sets no limit, for columns whose levels the caller knows to be few
-    or encodes by ``to_vector``.
+    dense schema.  Columns with more levels go through ``fit_level_dictionary``.
     """
     require_columns(df, columns)
     if not columns:
@@ -152,21 +154,99 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_levels: int | None =
         F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("level")) for c in columns]))
     levels = (df.select(pairs.alias("kv")).select("kv.column", "kv.level")
               .where(F.col("level").isNotNull()).distinct())
-    cap = None if max_levels is None else max_levels * len(columns)
-    rows = levels.collect() if cap is None else levels.limit(cap + 1).collect()
-    if cap is not None and len(rows) > cap:
+    cap = max_levels * len(columns)
+    rows = levels.limit(cap + 1).collect()
+    if len(rows) > cap:
         raise ValueError(f"more than {max_levels} levels per column on average; "
-                         "use a vector encoder for high-cardinality columns")
+                         "use fit_level_dictionary for columns of many levels")
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["level"])
     for c, lvs in out.items():
-        if max_levels is not None and len(lvs) > max_levels:
+        if len(lvs) > max_levels:
             raise ValueError(f"column {c!r} has {len(lvs)} levels (> {max_levels})")
         lvs.sort()
     return OneHotModel(out)
 
 
+# ---------------------------------------------------------------- level dictionary
+
+#: Bytes of levels up to which a column's dictionary is broadcast.
+DICTIONARY_BROADCAST_BYTES = 32 << 20
+
+
+@dataclass
+class LevelDictionary:
+    """Dense level ids of columns with any number of levels.
+
+    ``levels`` is a table ``(column, level, id)``; ids run from 0 in each column, in the order of
+    the levels, as the dense form's columns do.  The driver holds two numbers per column.
+    """
+    levels: DataFrame
+    sizes: dict[str, int]
+    level_bytes: dict[str, int]
+
+    def index(self, df: DataFrame, outputs: Mapping[str, str]) -> DataFrame:
+        """``df`` with a column of ids per ``{column: output}``; NULL and unseen levels give NULL.
+
+        A dictionary of counted, small size is broadcast.  A larger one is joined by level; that
+        join is left to AQE, which splits the partitions of hot levels and of NULL.
+        """
+        for i, (c, out) in enumerate(outputs.items()):
+            ids = self.levels.where(F.col("column") == c).select(
+                F.col("level").alias(f"_lv{i}"), F.col("id").alias(out))
+            # 64 bytes a row for the hash table beside the level itself
+            if self.level_bytes[c] + 64 * self.sizes[c] <= DICTIONARY_BROADCAST_BYTES:
+                ids = F.broadcast(ids)
+            df = df.join(ids, qcol(c).cast("string") == F.col(f"_lv{i}"), "left").drop(f"_lv{i}")
+        return df
+
+    def to_vector(self, df: DataFrame, output: str = "onehot", drop_source: bool = True) -> DataFrame:
+        """All columns as one sparse 0/1 vector: a slot per level, columns in order; NULL and
+        unseen levels give zeros.  A row holds one index per column, however many levels there are."""
+        ids = [f"_oh_i{i}" for i in range(len(self.sizes))]
+        out = self.index(df, dict(zip(self.sizes, ids, strict=True)))
+        start = np.cumsum([0, *self.sizes.values()])
+        slots = F.filter(F.array(*[(F.col(c) + F.lit(int(b))).cast("int") for c, b in zip(ids, start)]),
+                         lambda v: v.isNotNull())
+        # a vector's stored form, read back as one: ml's encoder would name every slot in the schema
+        stored = F.to_json(F.struct(F.struct(
+            F.lit(0).alias("type"), F.lit(int(start[-1])).alias("size"), slots.alias("indices"),
+            F.transform(slots, lambda v: F.lit(1.0)).alias("values")).alias("v")))
+        schema = StructType([StructField("v", VectorUDT())])
+        out = out.withColumn(output, F.from_json(stored, schema)["v"]).drop(*ids)
+        return out.drop(*self.sizes) if drop_source else out
+
+
+def fit_level_dictionary(df: DataFrame, columns: Sequence[str]) -> LevelDictionary:
+    """Number the distinct levels of every column (values read as strings) without collecting them.
+
+    The distinct levels are range-partitioned, sorted and written once; a level's id is its place in
+    its partition plus the rows of its column in earlier partitions.  Only a count per partition and
+    column comes to the driver: at most the partitions plus the columns, as ranges are contiguous.
+    """
+    require_columns(df, columns)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("level")) for c in columns]))
+    found = checkpoint(df.select(pairs.alias("kv")).select("kv.column", "kv.level")
+                       .where(F.col("level").isNotNull()).distinct()
+                       .repartitionByRange("column", "level").sortWithinPartitions("column", "level"))
+    placed = found.select("column", "level", F.spark_partition_id().alias("_part"),
+                          F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    runs = (placed.groupBy("column", "_part")
+            .agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("n"),
+                 F.sum(F.octet_length("level")).alias("bytes")).collect())
+    sizes, level_bytes, shifts = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0), []
+    for r in sorted(runs, key=lambda r: r["_part"]):
+        shifts.append((r["column"], r["_part"], sizes[r["column"]] - r["first"]))
+        sizes[r["column"]] += r["n"]
+        level_bytes[r["column"]] += r["bytes"]
+    shift = df.sparkSession.createDataFrame(shifts, "column string, _part int, _shift long")
+    levels = (placed.join(F.broadcast(shift), ["column", "_part"])
+              .select("column", "level", (F.col("_at") + F.col("_shift")).alias("id")))
+    return LevelDictionary(levels, sizes, level_bytes)
+
+
 def unshared_levels(df: DataFrame, columns: Sequence[str], tag: str = "_split",
                     labels: tuple[str, str] = ("train", "test")) -> DataFrame:
     """``(column, level, in_train, in_test)`` for levels seen in only one split."""

@@ -57,9 +57,11 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
                targets: Sequence[str] | None = None, k: int = 10,
                block: Sequence[str] | str | None = None,
                method: str = "exact", tables: int = 8, cell_rows: int = CELL_ROWS,
-               slice_rows: int = SLICE_ROWS) -> DataFrame:
+               slice_rows: int = SLICE_ROWS, donors: Column | None = None) -> DataFrame:
     """Fill NULLs of ``targets`` (default: all ``features``); other cells unchanged.
 
+    With a condition ``donors`` only the rows that meet it give values; all rows are filled.
+
     ``method="hash"`` is the approximate mode: donors are looked up in ``tables``
     random-projection hash tables over the features without NULLs (queries that
     find fewer than ``k`` donors there are answered exactly).
@@ -75,7 +77,8 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
 
     base = df.select(qcol(key).alias("_key"),
                      *[qcol(b).alias(f"_b{i}") for i, b in enumerate(blocks)],
-                     F.array(*[qcol(f).cast("double") for f in feats]).alias("_x"))
+                     F.array(*[qcol(f).cast("double") for f in feats]).alias("_x"),
+                     (F.lit(True) if donors is None else donors).alias("_gives"))
     x = F.col("_x")
 
     # query rows, one per missing target; their profile is the whole vector
@@ -94,7 +97,7 @@ def knn_impute(df: DataFrame, key: str, features: Sequence[str],
                                           F.array(*[F.lit(None).cast("double") if m == i else x[m]
                                                     for m in range(d)]).alias("p")))
         for j, i in enumerate(tidx)]), lambda s: s.isNotNull())
-    drows = (base.select("_key", *bcols, F.explode(observed).alias("_o"))
+    drows = (base.where("_gives").select("_key", *bcols, F.explode(observed).alias("_o"))
              .select(F.col("_key").alias("_dkey"), *bcols, F.col("_o.t").alias("_t"),
                      F.col("_o.v").alias("_v"), F.col("_o.p").alias("_dp")))
     # keep the k smallest keys of every donor profile (bounded, split when hot)

@@ -199,10 +199,12 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
     p = plan.pruned()
     df = df.drop(*p.drop)
 
-    mode = impute.fit_mode_imputer(df.where(F.col("_split") == "train") if fit_on == "train" else df,
-                                   p.one_hot)
+    def fitted(rows):
+        return rows.where(F.col("_split") == "train") if fit_on == "train" else rows
+
+    mode = impute.fit_mode_imputer(fitted(df), p.one_hot)
     df = mode.transform(df)
-    onehot = encode.fit_one_hot(df, p.one_hot, max_levels=None)
+    onehot = encode.fit_one_hot(fitted(df), p.one_hot)
     df = onehot.transform(df)
     if overfit_dummies == "auto":
         df = encode.drop_unshared_levels(df, onehot)
@@ -218,10 +220,11 @@ def engineer(train: DataFrame, test: DataFrame, drop_ids: Sequence[int] = (),
     for cols in (first, features):
         nulls = [r.feature for r in stats.null_report(df, cols).collect()]
         if nulls:
-            df = checkpoint(knn_impute(df, KEY, cols, targets=nulls, k=knn_k))
+            donors = F.col("_split") == "train" if fit_on == "train" else None
+            df = checkpoint(knn_impute(df, KEY, cols, targets=nulls, k=knn_k, donors=donors))
 
     numeric = [c for c in p.numeric if c in df.columns] + ["TotalArea", "Total_Bathrooms"]
-    skew = fit_skew_fix(df, numeric, threshold=skew_threshold)
+    skew = fit_skew_fix(fitted(df), numeric, threshold=skew_threshold)
     df = skew.transform(df)
     out = checkpoint(df.select(*[qcol(c) for c in (KEY, "_split", LABEL, *features)]))
     # the reference's closing reports: correlated pairs (one XᵀX pass) and missing values

@@ -445,6 +445,21 @@ def q_one_hot(spark, d):
     return model.transform(c)
 
 
+@register("level_ids", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS cust,
+                  o_orderpriority AS pri FROM orders),
+c AS (SELECT cust, ROW_NUMBER() OVER (ORDER BY cust) - 1 AS cust_id
+      FROM (SELECT DISTINCT cust FROM o WHERE cust IS NOT NULL) AS a),
+p AS (SELECT pri, ROW_NUMBER() OVER (ORDER BY pri) - 1 AS pri_id FROM (SELECT DISTINCT pri FROM o) AS b)
+SELECT o_orderkey, cust_id, pri_id FROM o LEFT JOIN c ON o.cust = c.cust LEFT JOIN p ON o.pri = p.pri""")
+def q_level_ids(spark, d):
+    o = t(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
+    o = o.select("o_orderkey", null_when(F.col("o_orderkey") % 13 == 0, "o_custkey").alias("cust"),
+                 F.col("o_orderpriority").alias("pri"))
+    model = encode.fit_level_dictionary(o, ["cust", "pri"])
+    return model.index(o, {"cust": "cust_id", "pri": "pri_id"}).select("o_orderkey", "cust_id", "pri_id")
+
+
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 

@@ -62,3 +62,33 @@ def test_one_hot_sparse_vector_equals_dense(spark):
     vec = {r.id: list(r.onehot.toArray()) for r in m.to_vector(df).collect()}
     assert len(vec[1]) == len(m.output_columns())
     assert all(vec[i] == [float(x) for x in dense[i]] for i in dense)
+
+
+def test_level_dictionary_equals_dense(spark):
+    df = spark.createDataFrame([(1, "b", 3), (2, "a", None), (3, None, 3), (4, "c", 1), (5, "b", 20)],
+                               "id int, s string, n int")
+    dense = encode.fit_one_hot(df, ["s", "n"])
+    want = {r[0]: list(r[1:]) for r in dense.transform(df).collect()}
+    model = encode.fit_level_dictionary(df, ["s", "n"])
+    got = {r.id: list(r.onehot.toArray()) for r in model.to_vector(df).collect()}
+    assert got == want and model.sizes == {"s": 3, "n": 3}
+    unseen = spark.createDataFrame([(9, "z", None)], "id int, s string, n int")
+    assert list(model.to_vector(unseen).first().onehot.toArray()) == [0.0] * 6
+    empty = encode.fit_level_dictionary(df.where("id > 9"), ["s", "n"])
+    assert empty.sizes == {"s": 0, "n": 0}
+    assert empty.index(df, {"s": "i"}).where("i is not null").count() == 0
+
+
+def test_level_dictionary_of_a_million_levels(spark):
+    # a third of the rows has one level, ids are dense and follow the order of the levels
+    n = 1_000_000
+    df = spark.range(3 * n // 2, numPartitions=8).select(
+        "id", F.when(F.col("id") < n, F.format_string("L%07d", "id")).otherwise("L0000005").alias("s"))
+    model = encode.fit_level_dictionary(df, ["s"])
+    assert model.sizes == {"s": n}
+    wrong = model.levels.where(F.substring("level", 2, 7).cast("long") != F.col("id")).count()
+    assert wrong == 0 and model.levels.count() == n
+    vec = model.to_vector(df.where("id % 100000 = 7 or id >= 1499999"))
+    rows = {r.id: r.onehot for r in vec.collect()}
+    assert len(rows) == 16 and all(v.size == n and v.numNonzeros() == 1 for v in rows.values())
+    assert rows[100007].indices[0] == 100007 and rows[1499999].indices[0] == 5
