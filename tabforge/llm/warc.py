@@ -22,9 +22,10 @@ RECORD = ("status string, file string, offset long, length long, reason string,
 GZIP = b"\x1f\x8b\x08"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+LENGTH = re.compile(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n")
 ONCE = (b"warc-type", b"warc-record-id", b"warc-date", b"content-length")
-#: Decompressed bytes that one gzip member may have.
-MAX_MEMBER = 1 << 28
+#: Bytes after which an archive file is closed; a record is never cut, so a larger one has its own.
+FILE_BYTES = 1 << 25
 
 
 # --------------------------------------------------------------------------------- writing
@@ -79,29 +80,42 @@ def warc_records(pages: DataFrame, min_revisit: int = 1000, id_col: str = "page_
             .select("_id", F.concat(head.cast("binary"), F.col("_block")).alias("record")))
 
 
-def _members_udf():
-    @arrow_udf("binary")
-    def members(record: pa.Array) -> pa.Array:
-        """Each record, with its closing blank lines, as a gzip member of its own."""
-        return pa.array([gzip.compress(r.as_py() + END, 6, mtime=0) for r in record], pa.binary())
+def _archives(compress: bool, file_bytes: int):
+    """Strings of whole records, one per archive file: gzip members or plain records with what
+    separates them."""
+    separator = EMPTY_MEMBER if compress else END
 
-    return members
+    def task(batches):
+        held, size = [], 0
+        for found in batches:
+            for record in found.column(0):
+                record = record.as_py()
+                held.append(gzip.compress(record + END, 6, mtime=0) if compress else record)
+                size += len(held[-1])
+                if size >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([separator.join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([separator.join(held)], pa.binary())], ["value"])
 
+    return task
 
-def write_warc(pages: DataFrame, path: str, compress: bool = True, records_per_file: int = 4000,
+
+def write_warc(pages: DataFrame, path: str, compress: bool = True, file_bytes: int = FILE_BYTES,
                **kwargs) -> None:
     """Write ``pages`` as WARC files below ``path``, any folder that Spark can write.
 
-    Spark's text writer puts a row's bytes and then a separator, and its commit protocol keeps the
-    files of lost or repeated tasks out.  With ``compress`` a row is a record's gzip member and the
-    separator an empty member, which readers of gzip pass over; without, the row is the record and
-    the separator the blank lines that end it.  ``records_per_file`` bounds what a reader holds.
+    A task joins its records up to ``file_bytes`` and Spark's text writer makes a file of each such
+    run, so a file is at most that and one record long, whatever the sizes of the records; the
+    writer's commit protocol keeps the files of lost or repeated tasks out.  With ``compress`` a
+    record is a gzip member and the separator an empty member, which readers of gzip pass over;
+    without, the separator is the blank lines that end a record.
     """
-    records = warc_records(pages, **kwargs)
-    value = (_members_udf()(F.col("record")) if compress else F.col("record")).cast("string")
     separator = EMPTY_MEMBER.decode("latin-1") if compress else CRLF * 2
-    (records.select(value).write.option("lineSep", separator).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    runs = warc_records(pages, **kwargs).select("record").mapInArrow(_archives(compress, file_bytes),
+                                                                     "value binary")
+    (runs.select(F.col("value").cast("string")).write.option("lineSep", separator)
+     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path))
 
 
 # --------------------------------------------------------------------------------- reading
@@ -151,24 +165,39 @@ def _parse(data: bytes, pos: int):
 
 
 def _parse_member(data: bytes, pos: int):
-    """As :func:`_parse`, for a gzip member that holds one record; ``(end,)`` if it is empty."""
-    inflate, plain, at, size = zlib.decompressobj(wbits=31), [], pos, 0
-    while not inflate.eof and at < len(data) and size <= MAX_MEMBER:
+    """As :func:`_parse`, for a gzip member that holds one record; ``(end,)`` if it is empty.
+
+    A member is inflated as far as its record states, so one of any size is read and one that
+    holds something else, or more, is given up early.
+    """
+    inflate, plain, at, stated = zlib.decompressobj(wbits=31), bytearray(), pos, None
+    while not inflate.eof and at < len(data):
+        searched = max(0, len(plain) - len(END))
         try:
-            plain.append(inflate.decompress(data[at:at + 65536]))
+            plain += inflate.decompress(data[at:at + 65536])
         except zlib.error as e:
             return f"bad gzip member: {e}"
-        size += len(plain[-1])
         at += 65536
+        if stated is None and len(plain) >= 10:
+            if not VERSION.match(plain):
+                return "no version line"
+            top = plain.find(END, searched)
+            if top >= 0:
+                length = LENGTH.search(plain, 0, top + 2)
+                if not length:
+                    return "no content length"
+                stated = top + 2 * len(END) + int(length[1])
+        if stated is not None and len(plain) > stated:
+            return "gzip member does not end with its record"
     if not inflate.eof:
-        return "gzip member is cut short or too large"
+        return "gzip member is cut short"
     end = min(at, len(data)) - len(inflate.unused_data)
-    if not size:
+    if not plain:
         return (end,)
-    found = _parse(b"".join(plain), 0)
+    found = _parse(bytes(plain), 0)
     if isinstance(found, str):
         return found
-    if found[0] != size:
+    if found[0] != len(plain):
         return "gzip member does not end with its record"
     return end, *found[1:]
 

@@ -188,7 +188,7 @@ def _pages(spark):
 @pytest.mark.parametrize("compress", [True, False])
 def test_archive_round_trip(spark, tmp_path, compress):
     path = str(tmp_path / "w")
-    warc.write_warc(_pages(spark), path, compress=compress, records_per_file=3)
+    warc.write_warc(_pages(spark), path, compress=compress, file_bytes=4000)
     rows = warc.read_warc(spark, path).collect()
     assert {r.status for r in rows} == {"record"}
     html = {r.page_id: (r.html or "").encode() for r in _pages(spark).collect() if r.page_id}
@@ -205,6 +205,23 @@ def test_archive_round_trip(spark, tmp_path, compress):
     assert warc.read_warc(spark, path + "0").count() == 0
 
 
+def test_files_are_bounded_by_bytes_and_members_by_what_they_state(spark, tmp_path):
+    pages = spark.range(40, numPartitions=1).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.concat(F.lit("x"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 30)).alias("html"))
+    path = str(tmp_path / "w")
+    warc.write_warc(pages, path, compress=False, file_bytes=10000)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert len(sizes) > 7 and max(sizes) < 10000 + 4000 and warc.read_warc(spark, path).count() == 40
+    body = b"y" * (1 << 29)      # a valid record of any size is read
+    head = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n"
+    found = list(warc.salvage(gzip.compress(head % len(body) + body + warc.END, 1)))
+    assert [f[0] for f in found] == ["record"] and len(found[0][4]) == len(body)
+    # what goes on beyond its stated end, or holds no record, is a gap
+    for bad in (head % 5 + body[:100000] + warc.END, body[:100000], b"WARC/1.1\r\nA: b\r\n\r\n"):
+        assert [f[0] for f in warc.salvage(gzip.compress(bad))] == ["gap"]
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_salvage(spark, compress):
     records = [bytes(r.record) + warc.END for r in
