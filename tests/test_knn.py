@@ -130,3 +130,12 @@ def test_blocks_with_nulls_and_unknown_methods(spark):
     assert got == {1: 5.0, 2: 5.0, 3: None, 4: None}
     with pytest.raises(ValueError, match="method"):
         knn_impute(df, "id", ["a", "b"], method="trees")
+
+
+def test_donors_are_the_rows_that_meet_the_condition(spark):
+    df = spark.createDataFrame([(1, "train", 1.0, 10.0), (2, "train", 2.0, 20.0), (3, "test", 1.5, 99.0),
+                                (4, "test", 1.5, None)], "id int, _split string, a double, b double")
+    got = knn_impute(df, "id", ["a", "b"], ["b"], k=1, donors=F.col("_split") == "train")
+    rows = {r.id: r.b for r in got.collect()}
+    assert rows[3] == 99.0 and rows[4] in (10.0, 20.0)
+    assert {r.id: r.b for r in knn_impute(df, "id", ["a", "b"], ["b"], k=1).collect()}[4] == 99.0
