@@ -147,7 +147,9 @@ def fingerprint_links(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCK
             F.count(F.lit(1)).alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("vary"))
                            .where(F.col("n") > 1))
         small = level.join(sizes.where(F.col("n") <= max_bucket), ["mask", "key"], "left_semi")
-        links.append(small.select("mask", "key", "fp").repartition("mask", "key")
+        # dealt by a hash of their own: a deal by the join's keys would be left out as the join's
+        # own, whose buckets AQE may read in parts (as a broadcast join, or to split skew)
+        links.append(small.select("mask", "key", "fp").repartition(F.xxhash64("mask", "key"))
                      .sortWithinPartitions("mask", "key")
                      .mapInArrow(_bucket_links(radius), "a long, b long"))
         large = sizes.where(F.col("n") > max_bucket)

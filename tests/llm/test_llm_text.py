@@ -221,6 +221,19 @@ def test_fingerprints_and_groups(spark):
     assert simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_links_join_buckets_dealt_from_several_partitions(spark):
+    rng = random.Random(4)
+    pairs = [(x, x ^ 0b111 << rng.randrange(60)) for x in (rng.getrandbits(63) for _ in range(300))]
+    # the halves of a pair in partitions of their own
+    prints = spark.sparkContext.parallelize([(x,) for half in zip(*pairs, strict=True) for x in half], 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # as larger tables
+    try:
+        links = simhash.fingerprint_links(spark.createDataFrame(prints, "fp long"), 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(sorted((r.a, r.b)) for r in links) == sorted(sorted(p) for p in pairs)
+
+
 def test_groups_that_share_an_id_or_have_none_stay_apart(spark):
     rng = random.Random(3)
     a, b, c = (" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)) for _ in range(3))
