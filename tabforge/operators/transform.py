@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,16 +165,40 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], method: str = "pearsonr",
     return LambdaFit(best, score)
 
 
+def _grid_task(cand: dict[str, np.ndarray], lgm: dict[str, float], ybar: dict[str, np.ndarray]):
+    """``(feature, k, Σwy, Σwy², Σzy)`` of a task's values under each candidate λ."""
+
+    def run(batches):
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names = batch.column(0).to_numpy(zero_copy_only=False)
+            x, w, z = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
+            for f in set(names) & set(cand):
+                at = names == f
+                lam = cand[f][:, None]
+                zero = np.abs(lam) < 1e-12
+                with np.errstate(all="ignore"):
+                    t = np.log(x[at]) - lgm[f]
+                    y = np.where(zero, t, np.expm1(lam * t) / np.where(zero, 1.0, lam)) - ybar[f][:, None]
+                    wy = y * w[at]
+                    own = np.stack([wy.sum(axis=1), (wy * y).sum(axis=1), (y * z[at]).sum(axis=1)])
+                    total[f] = total[f] + own if f in total else own
+        for f, (sy, syy, szy) in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f] * len(sy)), pa.array(np.arange(len(sy)), pa.int32()), pa.array(sy), pa.array(syy),
+                 pa.array(szy)], names=["feature", "k", "sy", "syy", "szy"])
+
+    return run
+
+
 def _grid_pass(table: DataFrame, cand: dict[str, np.ndarray], consts, method) -> dict:
     """Score every candidate λ of every column in one aggregation.
 
-    The candidates form a table of ``#columns x grid`` rows (bounded by the
-    parameters, so it is broadcast); joining it on the column name gives each
-    distinct value one row per candidate, summed per ``(feature, k)``.
+    Tasks evaluate all candidates of a batch of distinct values as a matrix and pass on their sums,
+    a row per ``(feature, k)``.
     """
     feats = list(cand)
     g = len(next(iter(cand.values())))
-    spark = table.sparkSession
     # values count relative to their geometric mean, in logarithms: x^lam = gm^lam u^lam, so
     # correlations stay, a variance gains a known factor, and large x or lam don't overflow
     lgm = {f: float(consts[f]["slog"]) / float(consts[f]["n"]) for f in feats}
@@ -183,18 +208,11 @@ def _grid_pass(table: DataFrame, cand: dict[str, np.ndarray], consts, method) ->
         value = t if abs(lam) < 1e-12 else float(np.expm1(min(lam * t, 700.0)) / lam)
         return float(value)
     # the centring term is per candidate, not per row: computed here once
-    cands = spark.createDataFrame(
-        [(f, k, float(cand[f][k]), lgm[f], centre(f, float(cand[f][k])))
-         for f in feats for k in range(g)],
-        "feature string, k int, lam double, lgm double, ybar double")
-    rows_x = table.join(F.broadcast(cands), "feature")
-    t, lam = F.log("x") - F.col("lgm"), F.col("lam")
-    y = F.when(F.abs(lam) < 1e-12, t).otherwise(F.expm1(lam * t) / lam) - F.col("ybar")
-    w = F.col("_cnt").cast("double")
-    sums = (rows_x.select("feature", "k", (w * y).alias("wy"), (w * y * y).alias("wyy"),
-                          (F.col("z") * y).alias("zy"))
+    ybar = {f: np.array([centre(f, float(lam)) for lam in cand[f]]) for f in feats}
+    sums = (table.select("feature", "x", F.col("_cnt").cast("double").alias("w"), "z")
+            .mapInArrow(_grid_task(cand, lgm, ybar), "feature string, k int, sy double, syy double, szy double")
             .groupBy("feature", "k")
-            .agg(F.sum("wy").alias("sy"), F.sum("wyy").alias("syy"), F.sum("zy").alias("szy")))
+            .agg(F.sum("sy").alias("sy"), F.sum("syy").alias("syy"), F.sum("szy").alias("szy")))
     got = {(r["feature"], r["k"]): r for r in sums.collect()}
     rows = {f: {f"{name}{k}": got[(f, k)][name] for k in range(g) for name in ("sy", "syy", "szy")}
             for f in feats}

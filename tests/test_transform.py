@@ -54,3 +54,22 @@ def test_skew_fix_selects_positive_skew_only(spark):
 
     rep = {r.feature: r for r in m.report(df, ["skewed", "sym"]).collect()}
     assert rep["sym"]["lambda"] is None and abs(rep["skewed"].skew_after) < rep["skewed"].skew_before
+
+
+def test_grid_task_sums_match_the_definition():
+    import pyarrow as pa
+
+    from tabforge.operators.transform import _grid_task
+    x, w, z = np.array([0.5, 2.0, 7.0]), np.array([1.0, 3.0, 2.0]), np.array([-1.0, 0.25, 1.5])
+    lam = np.array([-1.0, 0.0, 0.5])
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a"]), *map(pa.array, (x, w, z))],
+                                       names=["feature", "x", "w", "z"])
+    ybar = {"a": np.array([0.1, 0.2, 0.3]), "b": np.zeros(3)}
+    [a, b] = sorted((r.to_pydict() for r in _grid_task(
+        {"a": lam, "b": lam}, {"a": 0.4, "b": 0.0}, ybar)([batch])), key=lambda r: r["feature"][0])
+    for out, at, f, shift in ((a, [0, 2], "a", 0.4), (b, [1], "b", 0.0)):
+        for k, own in enumerate(lam):
+            t = np.log(x[at]) - shift
+            y = (t if own == 0 else (np.exp(own * t) - 1) / own) - ybar[f][k]
+            want = (w[at] * y).sum(), (w[at] * y * y).sum(), (z[at] * y).sum()
+            assert np.allclose((out["sy"][k], out["syy"][k], out["szy"][k]), want)
