@@ -33,3 +33,21 @@ def test_no_values(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     assert quantiles(df, "a", [0.5]).collect() == []
     assert [(r.feature, r.q_0) for r in column_quantiles(df, ["a", "b"], [0.5]).collect()] == [("b", 1.5)]
+
+
+def test_span_counts_per_fold_against_brute_force(spark):
+    import random
+
+    from tabforge.operators.brackets import _span_counts
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.choice([None, float(rng.randrange(20))]), float(rng.randrange(9))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, x0 double, x1 double").repartition(4)
+    spans = [(0, 2.0, 17.0, 5.0, 9.0), (0, 0.0, 19.0, 8.0, 8.0), (1, 0.0, 8.0, 3.5, 3.6), (1, 4.0, 4.0, 4.0, 4.0)]
+    got = {(r["k"], r["j"]): tuple(r)[2:] for r in _span_counts(df, spans, F.col("k"))}
+    for k in range(3):
+        for j, (i, a, b, lo, hi) in enumerate(spans):
+            v = [r[1 + i] for r in rows if r[0] == k and r[1 + i] is not None]
+            left, mid, right = ([x for x in v if a <= x < lo], [x for x in v if lo <= x <= hi],
+                                [x for x in v if hi < x <= b])
+            assert got[k, j] == (len(left), len(mid), len(right), min(mid, default=None), max(mid, default=None),
+                                 max(left, default=None), min(right, default=None))
