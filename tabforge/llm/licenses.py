@@ -197,11 +197,12 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     or per term that a hundredth of the files hold.
 
     Null paths are the top directory, null and empty texts have no lines that match, repeated rows
-    are each reported (they share what is found for their id and path), and an empty table gives an
-    empty result.
+    are each reported (they share what is found for their id and path), an empty table gives an
+    empty result, and the ids of a table without them are null.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = files.select(F.col(id_col).alias("_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"),
+    ids = F.col(id_col) if id_col in files.columns else F.lit(None).cast("long")
+    rows = files.select(ids.alias("_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"),
                         text.alias("_text"))
     named = F.lower(F.regexp_extract("path", r"([^/]*)$", 1)).rlike(r"^(licen[sc]e|copying|notice|unlicense)")
     vocabulary = F.array(*[F.lit(t) for t in template_terms(templates)])
